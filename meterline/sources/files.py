@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import PySparkException
 
 from meterline import schemas
 from meterline.functions.columns import nan_to_null
@@ -69,13 +69,9 @@ def _as_declared(df: DataFrame) -> DataFrame:
     )
 
 
-def _file_column(paths: Sequence[str]) -> F.Column:
-    """The given path a row came from (a path may be one file or a folder of part files)."""
-    found = F.lit(None).cast("string")
-    source = F.col("_metadata.file_path")
-    for path in sorted(paths, key=len):
-        found = F.when(source.contains(path), F.lit(path)).otherwise(found)
-    return found
+def _file_name() -> Column:
+    """Name of the parquet file, or of the folder of part files, that a row came from."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.parquet)(/[^/]+)?$", 1)
 
 
 def ingest_many(spark: SparkSession, paths: Sequence[str]) -> Ingested:
@@ -104,7 +100,7 @@ def ingest_many(spark: SparkSession, paths: Sequence[str]) -> Ingested:
     )
     for schema, members in groups.values():
         part = spark.read.schema(schema).parquet(*members)
-        part = part.withColumn("source_file", _file_column(members))
+        part = part.withColumn("source_file", _file_name())
         trips = trips.unionByName(_as_declared(nan_to_null(part)), allowMissingColumns=True)
 
     files = trips.groupBy("source_file").agg(

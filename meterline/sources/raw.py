@@ -53,25 +53,43 @@ def prepare_raw(df: DataFrame, fill_nulls: bool = True, keep: Sequence[str] = ()
 
 
 def ingest_stats(df: DataFrame) -> DataFrame:
-    """(column_name, stat, value): shape, pickup range, null counts and the description."""
-    text = df.agg(
-        F.count("*").cast("string").alias("total_rows"),
-        F.lit(str(len(df.columns))).alias("total_columns"),
+    """(column_name, stat, value, text): shape, pickup range, null counts, description.
+
+    Numbers are in ``value``, the two dates in ``text``.
+    """
+    names = ["total_rows", "total_columns", "start", "end"]
+    row = df.agg(
+        F.count("*").cast("double").alias("total_rows"),
         F.date_format(F.min("pickup_datetime"), "yyyy-MM-dd").alias("start"),
         F.date_format(F.max("pickup_datetime"), "yyyy-MM-dd").alias("end"),
+    ).withColumn("total_columns", F.lit(float(len(df.columns))))
+    shape = row.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit("*").alias("column_name"),
+                        F.lit(n).alias("stat"),
+                        (F.col(n) if n.startswith("total") else F.lit(None).cast("double")).alias(
+                            "value"
+                        ),
+                        (F.lit(None).cast("string") if n.startswith("total") else F.col(n)).alias(
+                            "text"
+                        ),
+                    )
+                    for n in names
+                ]
+            )
+        )
     )
-    shape = text.unpivot(
-        [F.lit("*").alias("column_name")],
-        ["total_rows", "total_columns", "start", "end"],
-        "stat",
-        "value",
-    )
+    no_text = F.lit(None).cast("string").alias("text")
     nulls = null_counts(df).select(
-        "column_name", F.lit("null_count").alias("stat"), F.col("null_count").cast("string").alias("value")
-    )
-    numbers = describe_numeric(df).select(
-        "column_name", "stat", F.format_string("%.6f", "value").alias("value")
+        "column_name",
+        F.lit("null_count").alias("stat"),
+        F.col("null_count").cast("double").alias("value"),
+        no_text,
     )
+    numbers = describe_numeric(df).select("column_name", "stat", "value", no_text)
     return shape.unionByName(nulls).unionByName(numbers)
 
 
