@@ -9,9 +9,8 @@ RAW_NUMERIC = (
     "payment_type fare_amount extra mta_tax tip_amount tolls_amount total_amount"
 ).split()
 COORDINATE_NUMERIC = "pickup_latitude pickup_longitude dropoff_latitude dropoff_longitude".split()
-PREPARED_NUMERIC = ["trip_id", *RAW_NUMERIC, *COORDINATE_NUMERIC]
+PREPARED_NUMERIC = [*RAW_NUMERIC, *COORDINATE_NUMERIC]
 PREPARED_COLUMNS = [
-    "trip_id",
     "vendor_id",
     "pickup_datetime",
     "dropoff_datetime",
