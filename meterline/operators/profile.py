@@ -84,7 +84,8 @@ def bin_index(col: Column, low: float, high: float, bins: int) -> Column:
     if high == low:
         return F.when(col.isNotNull(), F.lit(bins // 2))
     at = F.floor((col - F.lit(low)) / F.lit((high - low) / bins)).cast("int")
-    return F.least(at, F.lit(bins - 1))
+    # least alone would turn null into the last bin
+    return F.when(col.isNotNull(), F.least(at, F.lit(bins - 1)))
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
@@ -126,23 +127,23 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     columns = list(columns) if columns is not None else schemas.numeric_columns(df)
     pairs = list(combinations(range(len(columns)), 2))
 
-    def pair_corr(a: int, b: int) -> Column:
+    # corr raises on a constant column; r2 does not, and the covariance carries the sign
+    aggregates = [(F.min(c) == F.max(c)).alias(f"k{i}") for i, c in enumerate(columns)]
+    for a, b in pairs:
         x, y = F.col(columns[a]).cast("double"), F.col(columns[b]).cast("double")
-        return F.corr(x, y)
-
-    row = df.agg(*[pair_corr(a, b).alias(f"c{a}_{b}") for a, b in pairs])
-    packed = [
-        F.struct(
-            F.lit(columns[a]).alias("column_a"),
-            F.lit(columns[b]).alias("column_b"),
-            F.col(f"c{a}_{b}").alias("correlation"),
+        aggregates += [F.regr_r2(y, x).alias(f"r{a}_{b}"), F.covar_pop(x, y).alias(f"c{a}_{b}")]
+    packed = []
+    for a, b in pairs:
+        r2, cov = F.col(f"r{a}_{b}"), F.col(f"c{a}_{b}")
+        constant = F.col(f"k{a}") | F.col(f"k{b}") | ((cov == 0) & (r2 == 1))
+        packed.append(
+            F.struct(
+                F.lit(columns[a]).alias("column_a"),
+                F.lit(columns[b]).alias("column_b"),
+                F.when(~constant, F.signum(cov) * F.sqrt(r2)).alias("correlation"),
+            )
         )
-        for a, b in pairs
-    ]
-    # a column without variance has no correlation
-    return row.select(F.inline(F.array(*packed))).withColumn(
-        "correlation", F.nanvl("correlation", F.lit(None).cast("double"))
-    )
+    return df.agg(*aggregates).select(F.inline(F.array(*packed)))
 
 
 def daily_counts(df: DataFrame, column: str = "pickup_datetime") -> DataFrame:
