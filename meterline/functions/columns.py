@@ -9,6 +9,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(name: str) -> str:
+    """A column name for use in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def number_literal(value: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if value is None else f"CAST('{float(value)!r}' AS DOUBLE)"
+
+
+def rows_from(row: DataFrame, entries: Sequence[dict[str, str]]) -> DataFrame:
+    """Turn a one-row table into several rows; an entry maps output names to SQL text.
+
+    Wide profiles have hundreds of output cells, and one parsed text is far quicker to build
+    than as many Column objects.
+    """
+    structs = [
+        "named_struct(" + ", ".join(f"'{name}', {text}" for name, text in entry.items()) + ")"
+        for entry in entries
+    ]
+    return row.select(F.expr(f"inline(array({', '.join(structs)}))"))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Turn NaN into null in every floating column, so that only null means missing."""
     return df.select(

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline import schemas
-from meterline.functions.columns import half_up
+from meterline.functions.columns import quoted, rows_from, text_literal
 
 TOP_VALUES = 5
+STATISTICS = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 
 
 def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -73,40 +74,25 @@ def distinct_values(df: DataFrame, approx: bool = False) -> DataFrame:
 
 def feature_dictionary(df: DataFrame, approx: bool = False) -> DataFrame:
     """One row per column: type, nulls, distinct values and, if numeric, four statistics."""
-    types = dict(df.dtypes)
     numeric = set(schemas.numeric_columns(df))
-    aggregates = [F.count("*").alias("total_rows")]
-    for i, c in enumerate(df.columns):
-        aggregates.append(F.count_if(F.col(c).isNull()).alias(f"z{i}"))
-        if c in numeric:
-            value = F.col(c).cast("double")
-            aggregates += [
-                F.avg(value).alias(f"a{i}"),
-                F.stddev_samp(value).alias(f"s{i}"),
-                F.min(value).alias(f"l{i}"),
-                F.max(value).alias(f"h{i}"),
-            ]
-    nothing = F.lit(None).cast("double")
-    packed = []
-    for i, c in enumerate(df.columns):
-        share = F.try_divide(F.col(f"z{i}") * 100.0, F.col("total_rows"))
-        stat = {k: half_up(F.col(f"{k}{i}"), 4) if c in numeric else nothing for k in "aslh"}
-        packed.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(c).alias("column_name"),
-                F.lit(types[c]).alias("data_type"),
-                F.col(f"z{i}").alias("null_count"),
-                half_up(share, 2).alias("null_percentage"),
-                stat["a"].alias("mean"),
-                stat["s"].alias("std"),
-                stat["l"].alias("min"),
-                stat["h"].alias("max"),
-            )
-        )
-    row = df.agg(*aggregates)
+    aggregates, entries = ["count(*) AS n"], []
+    for i, (c, dtype) in enumerate(df.dtypes):
+        aggregates.append(f"count_if({quoted(c)} IS NULL) AS z{i}")
+        entry = {
+            "position": str(i),
+            "column_name": text_literal(c),
+            "data_type": text_literal(dtype),
+            "null_count": f"z{i}",
+            "null_percentage": f"floor(try_divide(z{i} * 100D, n) * 100D + 0.5D) / 100D",
+        }
+        for name, function in STATISTICS.items():
+            entry[name] = "CAST(NULL AS DOUBLE)"
+            if c in numeric:
+                aggregates.append(f"{function}(CAST({quoted(c)} AS DOUBLE)) AS {name}{i}")
+                entry[name] = f"floor({name}{i} * 10000D + 0.5D) / 10000D"
+        entries.append(entry)
+    facts = rows_from(df.agg(*[F.expr(t) for t in aggregates]), entries)
     # both sides have one row per column of the table
-    facts = row.select(F.inline(F.array(*packed)))
     return facts.join(F.broadcast(distinct_values(df, approx)), "column_name", "left").withColumn(
         "unique_values", F.coalesce("unique_values", F.lit(0).cast("bigint"))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline import schemas
-from meterline.functions.columns import half_up
+from meterline.functions.columns import half_up, number_literal, rows_from, text_literal
 from meterline.operators.describe import describe_numeric, null_counts
 from meterline.operators.quantiles import quantiles
 from meterline.operators.validate import outlier_counts
@@ -91,18 +91,21 @@ def bin_index(col: Column, low: float, high: float, bins: int) -> Column:
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
     """(column_name, bin, bin_start, row_count) of the non-empty equal-width bins."""
     columns = schemas.present(df, columns)
-    as_double = [F.col(c).cast("double").alias(c) for c in columns]
-    limits = df.select(*as_double).agg(
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    limits = values.agg(
         *[f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("l", F.min), ("h", F.max))]
     ).first()
+    found = [(i, c) for i, c in enumerate(columns) if limits[f"l{i}"] is not None]
+    if not found:
+        return df.sparkSession.createDataFrame(
+            [], "column_name string, bin int, bin_start double, row_count bigint"
+        )
     entries = []
-    for i, c in enumerate(columns):
+    for i, c in found:
         low, high = limits[f"l{i}"], limits[f"h{i}"]
-        if low is None:
-            continue
-        # a constant column gets a bin of width 1 around its value, as numpy does
+        # a constant column gets a bin range of width 1 around its value
         start, width = (low, (high - low) / bins) if high > low else (low - 0.5, 1.0 / bins)
-        index = bin_index(F.col(c).cast("double"), low, high, bins)
+        index = bin_index(F.col(c), low, high, bins)
         entries.append(
             F.struct(
                 F.lit(c).alias("column_name"),
@@ -110,12 +113,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
                 (F.lit(start) + index * F.lit(width)).alias("bin_start"),
             )
         )
-    if not entries:
-        return df.sparkSession.createDataFrame(
-            [], "column_name string, bin int, bin_start double, row_count bigint"
-        )
     return (
-        df.select(F.inline(F.array(*entries)))
+        values.select(F.inline(F.array(*entries)))
         .filter(F.col("bin").isNotNull())
         .groupBy("column_name", "bin", "bin_start")
         .agg(F.count("*").alias("row_count"))
@@ -123,27 +122,54 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
 
 
 def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column_a, column_b, correlation) of every pair, over the rows where both are present."""
+    """(column_a, column_b, correlation) of every pair, over the rows where both are present.
+
+    A first pass finds means and counts. The second one sums products of centred values: one sum
+    per pair, and further sums only for pairs in which a column has nulls, because only there
+    the moments of a column depend on its partner. A constant column has no correlation.
+    """
     columns = list(columns) if columns is not None else schemas.numeric_columns(df)
-    pairs = list(combinations(range(len(columns)), 2))
-
-    # corr raises on a constant column; r2 does not, and the covariance carries the sign
-    aggregates = [(F.min(c) == F.max(c)).alias(f"k{i}") for i, c in enumerate(columns)]
-    for a, b in pairs:
-        x, y = F.col(columns[a]).cast("double"), F.col(columns[b]).cast("double")
-        aggregates += [F.regr_r2(y, x).alias(f"r{a}_{b}"), F.covar_pop(x, y).alias(f"c{a}_{b}")]
-    packed = []
-    for a, b in pairs:
-        r2, cov = F.col(f"r{a}_{b}"), F.col(f"c{a}_{b}")
-        constant = F.col(f"k{a}") | F.col(f"k{b}") | ((cov == 0) & (r2 == 1))
-        packed.append(
-            F.struct(
-                F.lit(columns[a]).alias("column_a"),
-                F.lit(columns[b]).alias("column_b"),
-                F.when(~constant, F.signum(cov) * F.sqrt(r2)).alias("correlation"),
-            )
+    numbers = range(len(columns))
+    values = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    facts = values.agg(
+        F.expr("count(*) AS n"),
+        *[F.expr(f"avg(x{i}) AS a{i}") for i in numbers],
+        *[F.expr(f"count(x{i}) AS n{i}") for i in numbers],
+        *[F.expr(f"min(x{i}) = max(x{i}) AS k{i}") for i in numbers],
+    ).first()
+    centred = values.select(
+        *[F.expr(f"x{i} - {number_literal(facts[f'a{i}'] or 0.0)} AS x{i}") for i in numbers]
+    )
+    full = [facts[f"n{i}"] == facts["n"] for i in numbers]
+    varied = [i for i in numbers if facts[f"k{i}"] is False]
+    sums: dict[str, str] = {}
+
+    def moment(i: int, power: int, partner: int) -> str:
+        """Name of the sum of x^power of column i over the rows where the partner is present."""
+        value = (f"CASE WHEN x{i} IS NOT NULL THEN 1D END", f"x{i}", f"x{i} * x{i}")[power]
+        name = f"s{power}_{i}"
+        if not full[partner]:
+            name, value = f"{name}_{partner}", f"CASE WHEN x{partner} IS NOT NULL THEN {value} END"
+        sums[name] = f"sum({value}) AS {name}"
+        return name
+
+    entries = []
+    for a, b in combinations(numbers, 2):
+        value = "CAST(NULL AS DOUBLE)"
+        if a in varied and b in varied:
+            sums[f"p{a}_{b}"] = f"sum(x{a} * x{b}) AS p{a}_{b}"
+            n, x, y = moment(a, 0, b), moment(a, 1, b), moment(b, 1, a)
+            xx, yy = moment(a, 2, b), moment(b, 2, a)
+            spread = f"({n} * {xx} - {x} * {x}) * ({n} * {yy} - {y} * {y})"
+            value = f"try_divide({n} * p{a}_{b} - {x} * {y}, sqrt(greatest({spread}, 0D)))"
+        entries.append(
+            {
+                "column_a": text_literal(columns[a]),
+                "column_b": text_literal(columns[b]),
+                "correlation": value,
+            }
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*packed)))
+    return rows_from(centred.agg(F.expr("count(*) AS n"), *map(F.expr, sums.values())), entries)
 
 
 def daily_counts(df: DataFrame, column: str = "pickup_datetime") -> DataFrame:

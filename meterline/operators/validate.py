@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline import schemas
+from meterline.functions.columns import number_literal, quoted, rows_from, text_literal
 from meterline.operators.describe import null_counts
 from meterline.operators.quantiles import iqr_fences
 
@@ -84,26 +85,19 @@ def outlier_counts(
 
 
 def count_outside(df: DataFrame, fences: dict[str, tuple[float, float] | None]) -> DataFrame:
-    names = list(fences)
-    counts = [F.count("*").alias("n")]
-    for i, c in enumerate(names):
-        if fences[c] is None:
-            counts.append(F.lit(0).cast("bigint").alias(f"o{i}"))
-            continue
-        low, high = fences[c]
-        col = F.col(c).cast("double")
-        counts.append(F.count_if((col < low) | (col > high)).alias(f"o{i}"))
-    packed = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col("n").alias("total_rows"),
-            F.col(f"o{i}").alias("outlier_count"),
-            F.lit(fences[c][0] if fences[c] else None).cast("double").alias("lower_bound"),
-            F.lit(fences[c][1] if fences[c] else None).cast("double").alias("upper_bound"),
-        )
-        for i, c in enumerate(names)
-    ]
-    return df.agg(*counts).select(F.inline(F.array(*packed)))
+    counts, entries = ["count(*) AS n"], []
+    for i, (c, found) in enumerate(fences.items()):
+        low, high = found or (None, None)
+        entry = {"column_name": text_literal(c), "total_rows": "n", "outlier_count": "CAST(0 AS BIGINT)"}
+        entry |= {"lower_bound": number_literal(low), "upper_bound": number_literal(high)}
+        if found:
+            value = f"CAST({quoted(c)} AS DOUBLE)"
+            counts.append(
+                f"count_if({value} < {number_literal(low)} OR {value} > {number_literal(high)}) AS o{i}"
+            )
+            entry["outlier_count"] = f"o{i}"
+        entries.append(entry)
+    return rows_from(df.agg(*[F.expr(t) for t in counts]), entries)
 
 
 def outlier_check(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
