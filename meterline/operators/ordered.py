@@ -114,3 +114,34 @@ def rolling_features(
     return ordered_features(
         df, column, order, key, windows=windows, functions=functions, run_length=run_length
     )
+
+
+def running_totals(
+    df: DataFrame, order: Sequence[str], columns: Sequence[str], key: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``<column>_running``, the inclusive cumulative sum over the order within each key.
+
+    The sums inside a range partition are windows; the totals of the partitions before it are
+    added from a table with one row per partition and key.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [*key, *order]
+    placed = df.repartitionByRange(parts, *by).withColumn("_part", F.spark_partition_id())
+    placed = stage(placed, "running")
+    inside = Window.partitionBy("_part", *key).orderBy(*order)
+    earlier = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_part", *key).agg(*[F.sum(c).alias(c) for c in columns])
+    before = totals.select(
+        "_part",
+        *key,
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}_before") for c in columns],
+    )
+    return (
+        placed.withColumns({f"_{c}_inside": F.sum(c).over(inside) for c in columns})
+        .join(before, ["_part", *key])
+        .withColumns(
+            {f"{c}_running": F.col(f"_{c}_before") + F.col(f"_{c}_inside") for c in columns}
+        )
+        .drop("_part", *[f"_{c}_{x}" for c in columns for x in ("before", "inside")])
+    )

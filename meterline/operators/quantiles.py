@@ -15,6 +15,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterline.functions.columns import number_literal, quoted
+
 MAP_LIMIT = 200_000
 SKETCH_ACCURACY = 10_000
 _FUNCTIONS_PER_PASS = 24
@@ -115,8 +117,8 @@ def quantiles(
     if not columns:
         return {}
     sizes = df.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"count({quoted(c)}) AS n_{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"approx_count_distinct({quoted(c)}) AS d_{i}") for i, c in enumerate(columns)],
     ).first()
     total = {c: sizes[f"n_{i}"] for i, c in enumerate(columns)}
     small = [c for i, c in enumerate(columns) if sizes[f"d_{i}"] <= MAP_LIMIT]
@@ -124,9 +126,10 @@ def quantiles(
 
     out: dict[str, list[float | None]] = {}
     if small:
+        wanted = "array(" + ", ".join(number_literal(p) for p in probs) + ")"
         row = df.agg(
             *[
-                F.percentile(F.col(c).cast("double"), F.lit([float(p) for p in probs])).alias(f"q{i}")
+                F.expr(f"percentile(CAST({quoted(c)} AS DOUBLE), {wanted}) AS q{i}")
                 for i, c in enumerate(small)
             ]
         ).first()
