@@ -7,7 +7,7 @@ import importlib
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
-SECTIONS = ("ingest", "cleaning", "quality", "features", "summaries", "evaluation")
+SECTIONS = ("ingest", "cleaning", "quality", "features", "summaries", "evaluation", "learning")
 
 for _name in SECTIONS:
     _section = importlib.import_module(f"checks.{_name}")
