@@ -38,15 +38,10 @@ def tips(spark, sf_dir):
 
 
 def _fit(df, train, **params):
-    held = prep.keep(df.filter("split <> 'test'"))
-    try:
+    with prep.held(df.filter("split <> 'test'")) as rows:
         if params.get("validation"):
-            rows = held.withColumn("validation", F.col("split") == "val")
-        else:
-            rows = held.filter("split = 'train'")
-        return train(rows, **params)
-    finally:
-        held.unpersist()
+            return train(rows.withColumn("validation", F.col("split") == "val"), **params)
+        return train(rows.filter("split = 'train'"), **params)
 
 
 def regression(name, **params):
@@ -127,17 +122,17 @@ def _measured(labelled, columns):
 
 def kmeans(spark, sf_dir):
     df, _, columns = scaled(spark, sf_dir)
-    df = prep.keep(df)
-    model = clusters.kmeans(df, k=5, restarts=10)
-    return plain(_measured(clusters.assign(model, df), columns))
+    with prep.held(df):
+        model = clusters.kmeans(df, k=5, restarts=10)
+        return plain(_measured(clusters.assign(model, df), columns))
 
 
 def mixture(spark, sf_dir):
     df, _, columns = scaled(spark, sf_dir, FEW)
-    df = prep.keep(df)
-    model = clusters.gaussian_mixture(df, k=5)
-    criteria = clusters.mixture_criteria(model, df.count())
-    measured = _measured(clusters.assign(model, df), columns)
+    with prep.held(df):
+        model = clusters.gaussian_mixture(df, k=5)
+        criteria = clusters.mixture_criteria(model, df.count())
+        measured = _measured(clusters.assign(model, df), columns)
     return plain(measured.withColumns({n: F.lit(v) for n, v in criteria.items()}))
 
 
@@ -175,10 +170,11 @@ ENTRIES["U3_cluster_metrics"] = (
 )
 
 
-def elbow(mixture_model, restarts=3):
+def elbow(mixture_model, restarts=10):
     def query(spark, sf_dir):
         df, _, _ = scaled(spark, sf_dir, FEW)
-        return plain(clusters.elbow(prep.keep(df), mixture=mixture_model, restarts=restarts))
+        with prep.held(df):
+            return plain(clusters.elbow(df, mixture=mixture_model, restarts=restarts))
 
     return query
 
@@ -188,9 +184,11 @@ ENTRIES["U4_elbow"] = (elbow(False), None)
 
 def silhouettes(spark, sf_dir):
     df, _, _ = scaled(spark, sf_dir, FEW)
-    return plain(clusters.silhouette_scan(prep.keep(df), fit=lambda d, k: clusters.kmeans(d, k, 1)))
+    with prep.held(df):
+        return plain(clusters.silhouette_scan(df, fit=lambda d, k: clusters.kmeans(d, k, 1)))
 
 
+ENTRIES["U4_elbow_bic"] = (elbow(True), None)
 ENTRIES["U5_silhouette_scan"] = (silhouettes, None)
 _PROFILED = ["trip_distance", "fare_amount", "speed_mph"]
 ENTRIES["U6_cluster_profile"] = (
@@ -208,12 +206,16 @@ ENTRIES["U6_cluster_profile"] = (
 
 def centers(spark, sf_dir):
     df, scales, columns = scaled(spark, sf_dir, FEW)
-    return plain(clusters.centers(df, clusters.kmeans(prep.keep(df), 5, 3), columns, scales))
+    with prep.held(df):
+        model = clusters.kmeans(df, 5)
+    return plain(clusters.centers(df, model, columns, scales))
 
 
 def soft(spark, sf_dir):
     df, _, _ = scaled(spark, sf_dir, FEW[:4])
-    return plain(clusters.soft_assign(clusters.gaussian_mixture(prep.keep(df), 3), df, ["trip_id"]))
+    with prep.held(df):
+        model = clusters.gaussian_mixture(df, 3)
+    return plain(clusters.soft_assign(model, df, ["trip_id"]))
 
 
 ENTRIES["U7_centers"] = (centers, None)
@@ -224,7 +226,7 @@ ENTRIES["U8_soft_assign"] = (soft, None)
 
 def principal(spark, sf_dir):
     df, _, columns = scaled(spark, sf_dir)
-    return df, reduction.pca(prep.keep(df), columns)
+    return df, reduction.pca(df, columns)
 
 
 def pca_metrics(spark, sf_dir):

@@ -19,8 +19,11 @@ from meterline.learn.prep import SEED
 def kmeans(df: DataFrame, k: int = 8, restarts: int = 10, max_iter: int = 300, seed: int = SEED) -> Model:
     """Best of several starts by the sum of squared distances."""
     best = None
+    # stop once all centres together moved less than 0.01 standard deviations
+    tolerance = 0.01 / math.sqrt(k)
     for i in range(restarts):
-        model = KMeans(k=k, initMode="k-means||", maxIter=max_iter, seed=seed + i).fit(df)
+        start = KMeans(k=k, initMode="k-means||", maxIter=max_iter, tol=tolerance, seed=seed + i)
+        model = start.fit(df)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
     return best

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from meterline.learn.prep import SEED
 
 MAX_DEPTH = 30
+# histogram memory per task: more tree nodes per pass over the data
+TREE_MEMORY_MB = 1024
 
 
 @dataclass(frozen=True)
@@ -71,6 +73,7 @@ def rf_regressor(
         numTrees=n_estimators,
         maxDepth=min(max_depth or MAX_DEPTH, MAX_DEPTH),
         featureSubsetStrategy="all",
+        maxMemoryInMB=TREE_MEMORY_MB,
         seed=seed,
     ).fit(train)
 
@@ -108,6 +111,7 @@ def rf_classifier(
         maxDepth=min(max_depth, MAX_DEPTH),
         minInstancesPerNode=min_samples_leaf,
         featureSubsetStrategy="sqrt",
+        maxMemoryInMB=TREE_MEMORY_MB,
         seed=seed,
     ).fit(train)
 
@@ -145,7 +149,7 @@ def mlp(
     if width is None:
         width = len(train.select("features").first()["features"])
     return MultilayerPerceptronClassifier(
-        layers=[width, *hidden_layer_sizes, classes], maxIter=max_iter, seed=seed
+        layers=[width, *hidden_layer_sizes, classes], maxIter=max_iter, tol=1e-4, seed=seed
     ).fit(train)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -108,6 +109,11 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") ->
     return VectorAssembler(inputCols=list(columns), outputCol=output, handleInvalid="error").transform(df)
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Hold a training table for an iterative fit; spills to disk, recomputed if an executor goes."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """Hold a training table while it is fitted; it spills to disk and is released at the end."""
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from meterline.functions.columns import number_literal, quoted
 
 MAP_LIMIT = 200_000
+PASS_LIMIT = 2_000_000
 SKETCH_ACCURACY = 10_000
 _FUNCTIONS_PER_PASS = 24
 
@@ -73,7 +74,7 @@ def _count(df: DataFrame, targets: list[_Target]) -> None:
         counts += [
             F.count_if(under).alias(f"b{i}"),
             F.count(t.value()).alias(f"n{i}"),
-            F.approx_count_distinct(t.value()).alias(f"d{i}"),
+            F.approx_count_distinct(t.value(), 0.2).alias(f"d{i}"),
         ]
     seen = df.agg(*counts).first()
     for i, t in enumerate(targets):
@@ -109,6 +110,35 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> list[_Target]:
     return trial
 
 
+def _distinct_bound(df: DataFrame, total: dict[str, int]) -> dict[str, int]:
+    """Distinct values per column: the row count where that is small enough, else a sketch."""
+    unsure = [c for c, n in total.items() if n > MAP_LIMIT]
+    bound = dict(total)
+    if unsure:
+        # a coarse sketch: only the order of magnitude matters
+        row = df.agg(
+            *[
+                F.expr(f"approx_count_distinct({quoted(c)}, 0.2) AS d{i}")
+                for i, c in enumerate(unsure)
+            ]
+        ).first()
+        bound |= {c: row[f"d{i}"] for i, c in enumerate(unsure)}
+    return bound
+
+
+def _passes(columns: list[str], distinct: dict[str, int]) -> list[list[str]]:
+    """Columns in groups whose counters together stay within the limit of one pass."""
+    groups: list[list[str]] = []
+    room = 0
+    for c in columns:
+        if not groups or distinct[c] > room:
+            groups.append([])
+            room = PASS_LIMIT
+        groups[-1].append(c)
+        room -= distinct[c]
+    return groups
+
+
 def quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 ) -> dict[str, list[float | None]]:
@@ -116,24 +146,22 @@ def quantiles(
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
-    sizes = df.agg(
-        *[F.expr(f"count({quoted(c)}) AS n_{i}") for i, c in enumerate(columns)],
-        *[F.expr(f"approx_count_distinct({quoted(c)}) AS d_{i}") for i, c in enumerate(columns)],
-    ).first()
-    total = {c: sizes[f"n_{i}"] for i, c in enumerate(columns)}
-    small = [c for i, c in enumerate(columns) if sizes[f"d_{i}"] <= MAP_LIMIT]
-    large = [c for c in columns if c not in small]
+    counts = df.agg(*[F.expr(f"count({quoted(c)}) AS n{i}") for i, c in enumerate(columns)]).first()
+    total = {c: counts[f"n{i}"] for i, c in enumerate(columns)}
+    distinct = _distinct_bound(df, total)
+    small = [c for c in columns if distinct[c] <= MAP_LIMIT]
+    large = [c for c in columns if distinct[c] > MAP_LIMIT]
 
     out: dict[str, list[float | None]] = {}
-    if small:
-        wanted = "array(" + ", ".join(number_literal(p) for p in probs) + ")"
+    wanted = "array(" + ", ".join(number_literal(p) for p in probs) + ")"
+    for group in _passes(small, distinct):
         row = df.agg(
             *[
                 F.expr(f"percentile(CAST({quoted(c)} AS DOUBLE), {wanted}) AS q{i}")
-                for i, c in enumerate(small)
+                for i, c in enumerate(group)
             ]
         ).first()
-        for i, c in enumerate(small):
+        for i, c in enumerate(group):
             out[c] = list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)
 
     targets = [_Target(c, float(p), total[c], inside=total[c]) for c in large for p in probs]
