@@ -82,7 +82,7 @@ ENTRIES["K3_gbt_classifier"] = (
     None,
 )
 ENTRIES["K4_mlp"] = (
-    classification("MLPClassifier", hidden_layer_sizes=(100, 50), max_iter=300),
+    classification("MLPClassifier", hidden_layer_sizes=(100, 50), max_iter=100),
     None,
 )
 
@@ -170,7 +170,7 @@ ENTRIES["U3_cluster_metrics"] = (
 )
 
 
-def elbow(mixture_model, restarts=10):
+def elbow(mixture_model, restarts=1):
     def query(spark, sf_dir):
         df, _, _ = scaled(spark, sf_dir, FEW)
         with prep.held(df):
@@ -185,7 +185,7 @@ ENTRIES["U4_elbow"] = (elbow(False), None)
 def silhouettes(spark, sf_dir):
     df, _, _ = scaled(spark, sf_dir, FEW)
     with prep.held(df):
-        return plain(clusters.silhouette_scan(df, fit=lambda d, k: clusters.kmeans(d, k, 1)))
+        return plain(clusters.silhouette_scan(df, fit=lambda d, k: clusters.kmeans(d, k, restarts=1)))
 
 
 ENTRIES["U4_elbow_bic"] = (elbow(True), None)
@@ -207,7 +207,7 @@ ENTRIES["U6_cluster_profile"] = (
 def centers(spark, sf_dir):
     df, scales, columns = scaled(spark, sf_dir, FEW)
     with prep.held(df):
-        model = clusters.kmeans(df, 5)
+        model = clusters.kmeans(df, 5, restarts=1)
     return plain(clusters.centers(df, model, columns, scales))
 
 

@@ -7,7 +7,16 @@ import importlib
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
-SECTIONS = ("ingest", "cleaning", "quality", "features", "summaries", "evaluation", "learning")
+SECTIONS = (
+    "ingest",
+    "cleaning",
+    "quality",
+    "features",
+    "summaries",
+    "evaluation",
+    "learning",
+    "tracking",
+)
 
 for _name in SECTIONS:
     _section = importlib.import_module(f"checks.{_name}")
