@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline import schemas
-from meterline.functions.columns import clip, seconds_between
+from meterline.functions.columns import (
+    clip,
+    number_literal,
+    quoted,
+    rows_from,
+    seconds_between,
+    text_literal,
+)
 from meterline.operators.quantiles import approx_quantiles, iqr_fences, quantiles
 from meterline.sources.raw import as_datetime
 from meterline.sources.staging import stage
@@ -134,24 +141,26 @@ def cap_outliers(
     return apply_caps(df, cap_bounds(df, columns, method, factor, approx))
 
 
+CAPPED = "column_name string, capped_count bigint, lower_bound double, upper_bound double"
+
+
 def count_capped(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
     """(column_name, capped_count, lower_bound, upper_bound)."""
-    row = df.agg(
-        *[
-            F.count_if((F.col(c) < low) | (F.col(c) > high)).alias(c)
-            for c, (low, high) in bounds.items()
-        ]
-    )
-    packed = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(c).alias("capped_count"),
-            F.lit(low).alias("lower_bound"),
-            F.lit(high).alias("upper_bound"),
+    if not bounds:
+        return df.sparkSession.createDataFrame([], CAPPED)
+    counts, entries = [], []
+    for i, (c, limits) in enumerate(bounds.items()):
+        low, high = (number_literal(v) for v in limits)
+        counts.append(f"count_if({quoted(c)} < {low} OR {quoted(c)} > {high}) AS c{i}")
+        entries.append(
+            {
+                "column_name": text_literal(c),
+                "capped_count": f"c{i}",
+                "lower_bound": low,
+                "upper_bound": high,
+            }
         )
-        for c, (low, high) in bounds.items()
-    ]
-    return row.select(F.inline(F.array(*packed)))
+    return rows_from(df.agg(*[F.expr(t) for t in counts]), entries)
 
 
 def fix_types(df: DataFrame) -> DataFrame:

@@ -26,8 +26,17 @@ _AGGREGATES = {
     "sum": F.sum,
     "min": F.min,
     "max": F.max,
-    "median": F.median,
 }
+_NAMES = {*_AGGREGATES, "median"}
+
+
+def _framed(name: str, column: str, frame, size: int):
+    """The function over a frame; a median sorts the few values of a full window itself."""
+    if name != "median":
+        return _AGGREGATES[name](F.col(column)).over(frame)
+    values = F.array_sort(F.collect_list(column).over(frame))
+    middle = F.get(values, F.lit((size - 1) // 2)) + F.get(values, F.lit(size // 2))
+    return middle / 2
 
 
 def number_rows(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -82,7 +91,7 @@ def ordered_features(
     """
     if column not in df.columns:
         return df
-    unknown = set(functions) - set(_AGGREGATES)
+    unknown = set(functions) - _NAMES
     if unknown:
         raise ValueError(f"unknown functions {sorted(unknown)}")
     reach = max([*lags, *[w - 1 for w in windows], 1])
@@ -93,8 +102,7 @@ def ordered_features(
         frame = by.rowsBetween(-(w - 1), 0)
         full = F.count(column).over(frame) == w
         for name in functions:
-            value = _AGGREGATES[name](F.col(column)).over(frame)
-            new[f"{column}_rolling_{w}_{name}"] = F.when(full, value)
+            new[f"{column}_rolling_{w}_{name}"] = F.when(full, _framed(name, column, frame, w))
     return runs.withColumns(new).filter("_own").drop("_own", "_run", "_rn")
 
 

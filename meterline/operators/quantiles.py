@@ -9,7 +9,7 @@ values inside it. Every pass is one aggregate with partial aggregation and a one
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +20,9 @@ from meterline.functions.columns import number_literal, quoted
 MAP_LIMIT = 200_000
 PASS_LIMIT = 2_000_000
 SKETCH_ACCURACY = 10_000
-_FUNCTIONS_PER_PASS = 24
+# targets counted, and sketches built, in one pass
+COUNTED_PER_PASS = 48
+SKETCHES_PER_PASS = 16
 
 
 @dataclass
@@ -66,32 +68,57 @@ def _fraction(rank: int, last: int) -> float:
     return min(1.0, p)
 
 
+def _chunks(items: list, size: int) -> Iterator[list]:
+    for start in range(0, len(items), size):
+        yield items[start : start + size]
+
+
 def _count(df: DataFrame, targets: list[_Target]) -> None:
     """Exact row counts below and inside every bracket, and the distinct values inside."""
-    counts = []
-    for i, t in enumerate(targets):
-        under = F.lit(False) if t.low is None else F.col(t.column).cast("double") < F.lit(t.low)
-        counts += [
-            F.count_if(under).alias(f"b{i}"),
-            F.count(t.value()).alias(f"n{i}"),
-            F.approx_count_distinct(t.value(), 0.2).alias(f"d{i}"),
-        ]
-    seen = df.agg(*counts).first()
+    for chunk in _chunks(targets, COUNTED_PER_PASS):
+        counts = []
+        for i, t in enumerate(chunk):
+            under = F.lit(False) if t.low is None else F.col(t.column).cast("double") < F.lit(t.low)
+            counts += [
+                F.count_if(under).alias(f"b{i}"),
+                F.count(t.value()).alias(f"n{i}"),
+                F.approx_count_distinct(t.value(), 0.2).alias(f"d{i}"),
+            ]
+        seen = df.agg(*counts).first()
+        for i, t in enumerate(chunk):
+            t.below, t.inside, t.distinct = seen[f"b{i}"], seen[f"n{i}"], seen[f"d{i}"]
+
+
+def _sketch(df: DataFrame, targets: list[_Target]) -> dict[int, tuple[float, float]]:
+    """Approximate values around each rank; targets with the same bracket share a sketch."""
+    margin = 2.0 / SKETCH_ACCURACY
+    shared: dict[tuple, list[int]] = {}
     for i, t in enumerate(targets):
-        t.below, t.inside, t.distinct = seen[f"b{i}"], seen[f"n{i}"], seen[f"d{i}"]
+        shared.setdefault((t.column, t.low, t.high), []).append(i)
+    edges: dict[int, tuple[float, float]] = {}
+    for chunk in _chunks(list(shared.values()), SKETCHES_PER_PASS):
+        probes = []
+        for j, members in enumerate(chunk):
+            wanted = []
+            for i in members:
+                t = targets[i]
+                at = (t.position - t.below) / max(1, t.inside - 1)
+                wanted += [max(0.0, at - margin), min(1.0, at + margin)]
+            value = targets[members[0]].value()
+            probes.append(F.percentile_approx(value, wanted, SKETCH_ACCURACY).alias(f"e{j}"))
+        row = df.agg(*probes).first()
+        for j, members in enumerate(chunk):
+            values = row[f"e{j}"]
+            for k, i in enumerate(members):
+                edges[i] = (float(values[2 * k]), float(values[2 * k + 1]))
+    return edges
 
 
 def _narrow(df: DataFrame, targets: list[_Target]) -> list[_Target]:
     """One round: sketch the neighbourhood of each rank, then verify it by exact counts."""
-    margin = 2.0 / SKETCH_ACCURACY
-    probes = []
-    for i, t in enumerate(targets):
-        at = (t.position - t.below) / max(1, t.inside - 1)
-        edges = [max(0.0, at - margin), min(1.0, at + margin)]
-        probes.append(F.percentile_approx(t.value(), edges, SKETCH_ACCURACY).alias(f"e{i}"))
-    edges = df.agg(*probes).first()
+    edges = _sketch(df, targets)
     trial = [
-        replace(t, low=float(edges[f"e{i}"][0]), high=float(edges[f"e{i}"][1]))
+        replace(t, low=edges[i][0], high=edges[i][1])
         for i, t in enumerate(targets)
     ]
     _count(df, trial)
@@ -126,16 +153,16 @@ def _distinct_bound(df: DataFrame, total: dict[str, int]) -> dict[str, int]:
     return bound
 
 
-def _passes(columns: list[str], distinct: dict[str, int]) -> list[list[str]]:
-    """Columns in groups whose counters together stay within the limit of one pass."""
-    groups: list[list[str]] = []
+def _passes(items: list, distinct) -> list[list]:
+    """Items in groups whose counters together stay within the limit of one pass."""
+    groups: list[list] = []
     room = 0
-    for c in columns:
-        if not groups or distinct[c] > room:
+    for item in items:
+        if not groups or distinct[item] > room:
             groups.append([])
             room = PASS_LIMIT
-        groups[-1].append(c)
-        room -= distinct[c]
+        groups[-1].append(item)
+        room -= distinct[item]
     return groups
 
 
@@ -165,10 +192,7 @@ def quantiles(
             out[c] = list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)
 
     targets = [_Target(c, float(p), total[c], inside=total[c]) for c in large for p in probs]
-    found = {}
-    for start in range(0, len(targets), _FUNCTIONS_PER_PASS):
-        for t, value in _select(df, targets[start : start + _FUNCTIONS_PER_PASS]):
-            found[t.column, t.prob] = value
+    found = {(t.column, t.prob): value for t, value in _select(df, targets)}
     for c in large:
         out[c] = [found[c, float(p)] for p in probs]
     return {c: out[c] for c in columns}
@@ -184,16 +208,19 @@ def _select(df: DataFrame, targets: list[_Target]) -> list[tuple[_Target, float]
             stuck = (old.low, old.high) == (new.low, new.high)
             (again if new.distinct > MAP_LIMIT and not stuck else done).append(new)
         wide = again
-    exprs = []
-    for i, t in enumerate(done):
-        pair = [_fraction(r - t.below, t.inside - 1) for r in t.ranks]
-        exprs.append(F.percentile(t.value(), F.lit(pair)).alias(f"v{i}"))
-    row = df.agg(*exprs).first()
     result = []
-    for i, t in enumerate(done):
-        a, b = row[f"v{i}"]
-        w = t.position - t.ranks[0]
-        result.append((t, a if w == 0 else (1 - w) * a + w * b))
+    for group in _passes(list(range(len(done))), [t.distinct for t in done]):
+        exprs = []
+        for i in group:
+            t = done[i]
+            pair = [_fraction(r - t.below, t.inside - 1) for r in t.ranks]
+            exprs.append(F.percentile(t.value(), F.lit(pair)).alias(f"v{i}"))
+        row = df.agg(*exprs).first()
+        for i in group:
+            t = done[i]
+            a, b = row[f"v{i}"]
+            w = t.position - t.ranks[0]
+            result.append((t, a if w == 0 else (1 - w) * a + w * b))
     return result
 
 
