@@ -184,10 +184,12 @@ def fix_types(df: DataFrame) -> DataFrame:
 def derive_trip(df: DataFrame) -> DataFrame:
     """Duration, speed and calendar columns; rows without a positive duration are dropped."""
     if all(c in df.columns for c in schemas.DATETIME_TRIP):
-        df = df.withColumn(
-            "trip_duration", seconds_between(F.col("pickup_datetime"), F.col("dropoff_datetime"))
-        ).withColumn("trip_duration_minutes", F.col("trip_duration") / 60)
-        df = df.filter(F.col("trip_duration") > 0)
+        pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
+        # the same rows as duration > 0, but cheap where the filter is pushed down to
+        df = df.filter(dropoff > pickup).withColumn(
+            "trip_duration", seconds_between(pickup, dropoff)
+        )
+        df = df.withColumn("trip_duration_minutes", F.col("trip_duration") / 60)
     if {"trip_distance", "trip_duration"} <= set(df.columns):
         hours = F.col("trip_duration") / 3600
         speed = F.coalesce(F.try_divide(F.col("trip_distance"), hours), F.lit(0.0))
