@@ -19,7 +19,8 @@ def _labelled(df, target):
     """(label, features, split) with medians filled from the training rows."""
     columns = [c for c in prep.select_numeric(df, target) if c not in _NOT_FEATURES]
     parted = prep.assign_split(df, ["split_key"])
-    medians = prep.fit_medians(parted.filter("split = 'train'"), columns)
+    gaps = prep.incomplete(parted, columns)
+    medians = prep.fit_medians(parted.filter("split = 'train'"), gaps)
     filled = prep.fill_medians(parted, medians).withColumn("label", F.col(target).cast("double"))
     return prep.assemble(filled, columns).select("label", "features", "split"), columns
 

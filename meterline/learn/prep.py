@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from meterline import schemas
-from meterline.functions.columns import md5_bucket
+from meterline.functions.columns import md5_bucket, quoted
 from meterline.operators.quantiles import quantiles
 
 # Columns that would give the target away, and shares of the split.
@@ -42,10 +42,15 @@ def fit_medians(train: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     return {c: q[0] for c, q in quantiles(train, columns, (0.5,)).items() if q[0] is not None}
 
 
+def incomplete(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns that have nulls; the others need no median."""
+    row = df.agg(*[F.expr(f"count_if({quoted(c)} IS NULL) AS z{i}") for i, c in enumerate(columns)]).first()
+    return [c for i, c in enumerate(columns) if row[f"z{i}"]]
+
+
 def fill_medians(df: DataFrame, medians: dict[str, float]) -> DataFrame:
-    return df.withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items()}
-    )
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items()}
+    return df.withColumns(filled) if filled else df
 
 
 def assign_split(

@@ -137,20 +137,14 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> list[_Target]:
     return trial
 
 
-def _distinct_bound(df: DataFrame, total: dict[str, int]) -> dict[str, int]:
-    """Distinct values per column: the row count where that is small enough, else a sketch."""
-    unsure = [c for c, n in total.items() if n > MAP_LIMIT]
-    bound = dict(total)
-    if unsure:
-        # a coarse sketch: only the order of magnitude matters
-        row = df.agg(
-            *[
-                F.expr(f"approx_count_distinct({quoted(c)}, 0.2) AS d{i}")
-                for i, c in enumerate(unsure)
-            ]
-        ).first()
-        bound |= {c: row[f"d{i}"] for i, c in enumerate(unsure)}
-    return bound
+def _sizes(df: DataFrame, columns: list[str]) -> tuple[dict[str, int], dict[str, int]]:
+    """Values and distinct values per column; a coarse sketch gives the order of magnitude."""
+    row = df.agg(
+        *[F.expr(f"count({quoted(c)}) AS n{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"approx_count_distinct({quoted(c)}, 0.2) AS d{i}") for i, c in enumerate(columns)],
+    ).first()
+    total = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    return total, {c: min(total[c], row[f"d{i}"]) for i, c in enumerate(columns)}
 
 
 def _passes(items: list, distinct) -> list[list]:
@@ -173,9 +167,7 @@ def quantiles(
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
-    counts = df.agg(*[F.expr(f"count({quoted(c)}) AS n{i}") for i, c in enumerate(columns)]).first()
-    total = {c: counts[f"n{i}"] for i, c in enumerate(columns)}
-    distinct = _distinct_bound(df, total)
+    total, distinct = _sizes(df, columns)
     small = [c for c in columns if distinct[c] <= MAP_LIMIT]
     large = [c for c in columns if distinct[c] > MAP_LIMIT]
 

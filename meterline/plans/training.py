@@ -68,7 +68,8 @@ def train_family(
     known = models.REGRESSORS if family == "regression" else models.CLASSIFIERS
     columns = prep.select_numeric(df, target, [c for c in df.columns if c not in (key, target)])
     parted = prep.assign_split(df, [key])
-    medians = prep.fit_medians(parted.filter("split = 'train'"), columns)
+    gaps = prep.incomplete(parted, columns)
+    medians = prep.fit_medians(parted.filter("split = 'train'"), gaps)
     ready = prep.fill_medians(parted, medians).withColumn("label", F.col(target).cast("double"))
     ready = prep.assemble(ready, columns).select("label", "features", "split")
     runs, failed = [], {}

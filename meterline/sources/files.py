@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,7 +88,7 @@ def ingest_many(spark: SparkSession, paths: Sequence[str]) -> Ingested:
     for path in paths:
         try:
             schema = spark.read.parquet(path).schema
-        except PySparkException as error:
+        except (PySparkException, Py4JJavaError) as error:  # a broken footer is the latter
             rejected.append((path, type(error).__name__))
             continue
         lacking = [c for c in schemas.ESSENTIAL_SOURCE if c not in schema.names]
