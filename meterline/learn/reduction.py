@@ -110,10 +110,11 @@ def _class_moments(df: DataFrame, width: int) -> dict[float, tuple[float, np.nda
                 entry[0] += len(x)
                 entry[1] += x.sum(axis=0)
                 entry[2] += x.T @ x
-        yield pd.DataFrame(
-            [(k, n, s, p.ravel()) for k, (n, s, p) in state.items()],
-            columns=["label", "n", "sums", "products"],
-        )
+        if state:
+            yield pd.DataFrame(
+                [(k, n, s, p.ravel()) for k, (n, s, p) in state.items()],
+                columns=["label", "n", "sums", "products"],
+            )
 
     parts = df.select(F.col("label").cast("double"), vector_to_array("features").alias("x")).mapInPandas(
         partial, _MOMENTS

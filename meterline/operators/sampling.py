@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meterline.functions.columns import md5_key
 
 TOP_K_LIMIT = 100_000
-_DIGITS = 4
+_DIGITS, _LENGTH = 4, 48
 
 
 def sample_n(
@@ -21,13 +21,14 @@ def sample_n(
     A small n is a top-k. For a large n the digest that cuts the table is located by counting
     digest prefixes, so whole prefixes are taken by a filter and only the last one is ordered.
     """
+    # rows with the same key are told apart by a hash of the whole row
+    row_hash = F.lpad(F.hex(F.xxhash64(*[F.col(c) for c in df.columns])), 16, "0")
+    keyed = df.withColumn("_digest", F.concat(md5_key(key, seed), row_hash))
     if n <= top_k_limit:
-        keyed = df.withColumn("_digest", md5_key(key, seed))
-        return keyed.orderBy("_digest", *key).limit(n).drop("_digest")
+        return keyed.orderBy("_digest").limit(n).drop("_digest")
 
-    keyed = df.withColumn("_digest", md5_key(key, seed))
     prefix, need = "", n
-    while len(prefix) < 32:
+    while len(prefix) < _LENGTH:
         width = len(prefix) + _DIGITS
         inside = keyed.filter(F.col("_digest").startswith(prefix)) if prefix else keyed
         counts = sorted(
@@ -51,13 +52,11 @@ def sample_n(
     whole = keyed.filter(F.substring("_digest", 1, len(prefix)) < prefix)
     edge = keyed.filter(F.col("_digest").startswith(prefix))
     # equal rows share the digest: count them once, then hand out as many copies as are needed
-    order = Window.orderBy("_digest", *key, "_tie")
+    order = Window.orderBy("_digest")
     before = F.sum("_copies").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_copies")
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
     partly = (
         edge.groupBy(*edge.columns)
         .agg(F.count("*").alias("_copies"))
-        .withColumn("_tie", tie)
         .withColumn("_take", F.least(F.col("_copies"), F.lit(need) - before))
         .filter(F.col("_take") > 0)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_take"))))

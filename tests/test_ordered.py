@@ -97,3 +97,12 @@ def test_sample_of_copies_is_exact(spark):
         assert sample_n(df, n, ["id"], top_k_limit=10).count() == n
     again = rows(sample_n(df.repartition(9), 1500, ["id"], top_k_limit=10))
     assert again == rows(sample_n(df.repartition(1), 1500, ["id"], top_k_limit=10))
+
+
+def test_sample_with_a_hot_key(spark):
+    """All rows share the key, so the row hash decides; no row comes twice."""
+    df = spark.range(2000).select(F.lit(1).alias("k"), "id")
+    for limit in (10, 10_000):
+        picked = sample_n(df, 700, ["k"], top_k_limit=limit)
+        assert picked.count() == picked.distinct().count() == 700
+    assert rows(sample_n(df, 700, ["k"], top_k_limit=10)) == rows(sample_n(df, 700, ["k"]))
