@@ -300,3 +300,59 @@ ENTRIES["D5_explained_variance"] = (
     lambda spark, sf_dir: plain(reduction.explained_variance(spark, principal(spark, sf_dir)[1])),
     None,
 )
+
+# --- fits with one or two features, which plain SQL can restate --------------------------------
+
+_MOMENTS = (
+    *USABLE,
+    "fit AS (SELECT count(*) AS n, avg(fare_amount) AS mx, avg(total_amount) AS my,"
+    " var_pop(fare_amount) AS vx, covar_pop(fare_amount, total_amount) AS cxy FROM usable)",
+)
+
+
+def single(name, **params):
+    """Total amount explained by the fare alone: slope and intercept."""
+
+    def query(spark, sf_dir):
+        df = prep.assemble(usable(spark, sf_dir), ["fare_amount"])
+        df = df.withColumn("label", F.col("total_amount"))
+        model = models.REGRESSORS[name](df, **params)
+        return plain(models.coefficients(spark, model, ["fare_amount"], name).drop("model"), 3)
+
+    return query
+
+
+def _single_sql(slope: str) -> str:
+    return sql(
+        f"SELECT 'fare_amount' AS term, round({slope}, 3) + 0.0 AS value FROM fit"
+        f" UNION ALL SELECT '(intercept)', round(my - mx * ({slope}), 3) + 0.0 FROM fit",
+        *_MOMENTS,
+    )
+
+
+ENTRIES["R1_linear_one_feature"] = (single("LinearRegression"), _single_sql("cxy / vx"))
+ENTRIES["R2_ridge_one_feature"] = (
+    single("Ridge", alpha=1e6),
+    _single_sql("cxy * n / (vx * n + 1000000.0::DOUBLE)"),
+)
+ENTRIES["R3_lasso_one_feature"] = (
+    single("Lasso", alpha=50.0),
+    _single_sql("sign(cxy) * greatest(abs(cxy) - 50, 0) / vx"),
+)
+
+
+def two_components(spark, sf_dir):
+    """Principal components of two standardised columns share 1 + |r| and 1 - |r|."""
+    df, _, columns = scaled(spark, sf_dir, ["fare_amount", "tip_amount"])
+    return plain(reduction.explained_variance(spark, reduction.pca(df, columns)))
+
+
+ENTRIES["D5_two_columns"] = (
+    two_components,
+    sql(
+        "SELECT 1 AS component, round((1 + r) / 2, 6) + 0.0 AS ratio, round((1 + r) / 2, 6) + 0.0 AS cumulative, true AS kept FROM c"
+        " UNION ALL SELECT 2, round((1 - r) / 2, 6) + 0.0, 1.0, (1 + r) / 2 <= 0.95 FROM c",
+        *USABLE,
+        "c AS (SELECT abs(corr(fare_amount, tip_amount)) AS r FROM usable)",
+    ),
+)
