@@ -237,7 +237,7 @@ ENTRIES["S10_table_info"] = (table_info, None)
 
 _NO_TEXT = ", CAST(NULL AS VARCHAR) AS text"
 ENTRIES["S11_ingest_stats"] = (
-    lambda spark, sf_dir: plain(raw.ingest_stats(unfilled(spark, sf_dir).drop("trip_id"))),
+    lambda spark, sf_dir: plain(raw.ingest_stats(unfilled(spark, sf_dir).drop("trip_id")), 9),
     sql(
         f"""SELECT '*' AS column_name, 'total_rows' AS stat, count(*)::DOUBLE AS value{_NO_TEXT} FROM unfilled
  UNION ALL SELECT '*', 'total_columns', {len(PREPARED_COLUMNS)}::DOUBLE, NULL

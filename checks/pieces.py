@@ -42,7 +42,7 @@ def describe(table: str, columns: Sequence[str], extra: str = "") -> str:
  unnest(['count','mean','std','min','25%','50%','75%','max']) AS stat,
  round(unnest([count({c})::DOUBLE, avg({c}::DOUBLE), stddev_samp({c}::DOUBLE), min({c})::DOUBLE,
   quantile_cont({c}::DOUBLE, 0.25), quantile_cont({c}::DOUBLE, 0.5), quantile_cont({c}::DOUBLE, 0.75),
-  max({c})::DOUBLE]), 6) + 0.0 AS value{extra} FROM {table}"""
+  max({c})::DOUBLE]), 9) + 0.0 AS value{extra} FROM {table}"""
             for c in columns
         ]
     )

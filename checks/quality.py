@@ -139,7 +139,7 @@ ENTRIES["V7_validation_summary"] = (
 )
 
 ENTRIES["Q1_summary_stats"] = (
-    lambda spark, sf_dir: plain(profile.summary_stats(no_id(spark, sf_dir))),
+    lambda spark, sf_dir: plain(profile.summary_stats(no_id(spark, sf_dir)), 9),
     sql(
         f"""SELECT '*' AS column_name, 'total_rows' AS stat, count(*)::DOUBLE AS value FROM unfilled
  UNION ALL SELECT '*', 'total_columns', {len(PREPARED_COLUMNS)}::DOUBLE

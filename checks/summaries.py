@@ -150,7 +150,7 @@ def explorer(spark, sf_dir):
     numbers = describe_numeric(df, ["fare_amount"]).select(
         F.lit("describe").alias("part"), F.col("stat").alias("name"), "value"
     )
-    return plain(bars.unionByName(box).unionByName(numbers))
+    return plain(bars.unionByName(box).unionByName(numbers), 9)
 
 
 ENTRIES["A8_feature_explorer"] = (
