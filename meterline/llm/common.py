@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StructType
 
 #: Into how many parts the rows of one key are dealt before a lookup by that key.
 SALTS = 16
@@ -28,7 +28,7 @@ def map_batches(
 
     Nulls stay nulls and 64-bit ids stay integers, which pandas would turn into floats.
     """
-    kind = _parse_datatype_string(schema)
+    kind = StructType.fromDDL(schema)
     return map_partitions(df, _Each(fn, kind), kind)
 
 

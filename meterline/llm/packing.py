@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from meterline.llm.common import as_batch, map_partitions, utf8
@@ -290,7 +290,7 @@ def pack(
         f"{id_column} {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
         "sequence_id long, offset long" + ", ids array<int>" * with_ids
     )
-    parsed = _parse_datatype_string(schema)
+    parsed = StructType.fromDDL(schema)
     narrow = docs.select(id_column, F.col("text").cast("string").alias("text"))
     return map_partitions(
         narrow, _Pack(tokenizer_path, length, end_id, parsed, id_column), parsed

@@ -5,16 +5,42 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import decontaminate, license_scan, packing, quality
+from meterline.llm import (
+    decontaminate,
+    language,
+    license_scan,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    token_counts,
+    toxicity,
+    warc,
+)
 from meterline.llm.common import table
+from meterline.sources.staging import scratch_path, stage
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, with_ids=False)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.fold("doc_id", 4) == 2
+    model = language.fit(docs.where(~held_out))
+    return language.identify(docs, model).withColumn("held_out", held_out)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = language.fold("doc_id", 5) == 0
+    return toxicity.score(docs, labels.where(~held_out)).withColumn("held_out", held_out)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents"))
 
@@ -23,6 +49,27 @@ def op5_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = scratch_path(spark, "archives")
+    files = stage(warc.write_archives(pages, folder), "archive-files")
+    return warc.page_records(warc.read_archives(files))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_duplicate_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "text", "n_lines_dropped")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(
         spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -31,9 +78,35 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_language": op2_language,
+    "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_license": op5_license,
+    "op6_token_counts": op6_token_counts,
+    "op7_warc": op7_warc,
+    "op8_near_duplicates": op8_near_duplicates,
+    "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
-SQL: dict[str, str] = {}
+#: Base32 takes five bits a character: four characters from every five hexadecimal digits.
+SQL: dict[str, str] = {
+    "op7_warc": """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages
+), digests AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex FROM payloads
+), named AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hex) AS top FROM digests
+)
+SELECT page_id,
+  CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + ((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT)
+      >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN top IS NULL OR page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN top IS NULL OR page_id = top THEN NULL ELSE top END AS refers_to,
+  true AS intact
+FROM named
+""",
+}
