@@ -192,6 +192,16 @@ def test_block_keys_meet_within_two_bits(spark):
     assert all(r["m"] for r in met)
 
 
+def test_marks_miss_no_document(spark):
+    rng = random.Random(14)
+    keys = [rng.getrandbits(64) - (1 << 63) for _ in range(3000)]
+    wanted = spark.createDataFrame([(k,) for k in keys[:1000]], "doc long")
+    docs = spark.createDataFrame([(k,) for k in keys], "_doc long")
+    marked = line_dedup.with_mark(docs, line_dedup.marks(wanted)).where("_marked").collect()
+    found = {r["_doc"] for r in marked}
+    assert set(keys[:1000]) <= found and len(found) < 1010
+
+
 def test_lines(spark):
     rng = random.Random(10)
     vocabulary = pool(rng)
