@@ -233,7 +233,7 @@ _AUC_SQL = """areas AS (SELECT model, sum(pos * (below + neg / 2.0::DOUBLE)) / (
 _E4_SQL = (
     "SELECT model, "
     + sql_round("accuracy", "precision", "recall", "f1_score", "roc_auc")
-    + " FROM (SELECT model, "
+    + ", unscored FROM (SELECT model, count(*) FILTER (WHERE score IS NULL) AS unscored, "
     + ", ".join(_HITS)
     + " FROM scored GROUP BY 1) JOIN areas USING (model)"
 )
@@ -255,10 +255,10 @@ ENTRIES["E5_confusion_matrix"] = (
 ENTRIES["E6_roc_points"] = (
     lambda spark, sf_dir: plain(evaluation.roc_points(one(scored(spark, sf_dir), "by_tip"))),
     sql(
-        """SELECT round(bin / 1000.0::DOUBLE, 6) + 0.0 AS threshold,
- round(sum(neg) OVER (ORDER BY bin DESC) / (SELECT sum(1 - label) FROM only_tip), 6) + 0.0 AS fpr,
- round(sum(pos) OVER (ORDER BY bin DESC) / (SELECT sum(label) FROM only_tip), 6) + 0.0 AS tpr
- FROM (SELECT least(floor(score * 1000), 999) AS bin, sum(label) AS pos, sum(1 - label) AS neg FROM only_tip GROUP BY 1)""",
+        """SELECT round(score, 6) + 0.0 AS threshold,
+ round(sum(neg) OVER (ORDER BY score DESC) / (SELECT sum(1 - label) FROM only_tip), 6) + 0.0 AS fpr,
+ round(sum(pos) OVER (ORDER BY score DESC) / (SELECT sum(label) FROM only_tip), 6) + 0.0 AS tpr
+ FROM (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM only_tip GROUP BY 1)""",
         *SCORED,
         "only_tip AS (SELECT * FROM scored WHERE model = 'by_tip')",
     ),

@@ -51,7 +51,7 @@ KEEP = ("trip_id", *COORDINATES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return scan_parquet(spark, f"{sf_dir}/{name}.parquet", spread=True)
+    return scan_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,11 +54,11 @@ RUNS = (
     + ", ".join(f"CASE {c} END AS p_{n}" for n, c in PARAMS.items())
     + " FROM (SELECT *, o_orderkey % 3 AS kind FROM {orders})"
 )
-SQL_RUNS = f"runs AS ({RUNS.format(orders='orders')})"
-SQL_METRICS = "metrics AS (" + union(
+SQL_RUNS = f"runs AS MATERIALIZED ({RUNS.format(orders='orders')})"
+SQL_METRICS = "metrics AS MATERIALIZED (" + union(
     [f"SELECT run_id, experiment_name, '{n}' AS metric, m_{n} AS value FROM runs WHERE m_{n} IS NOT NULL" for n in METRICS]
 ) + ")"
-SQL_PARAMS = "params AS (" + union(
+SQL_PARAMS = "params AS MATERIALIZED (" + union(
     [f"SELECT run_id, experiment_name, '{n}' AS param, p_{n} AS value FROM runs WHERE p_{n} IS NOT NULL" for n in PARAMS]
 ) + ")"
 
@@ -180,7 +180,8 @@ ENTRIES["X5_compare_runs"] = (
 )
 _LOWER = "metric IN ('rmse', 'mae', 'davies_bouldin_score')"
 ENTRIES["X6_metric_spread"] = (
-    lambda spark, sf_dir: plain(runs.metric_spread(run_table(spark, sf_dir))),
+    # at nine digits: a mean of six can end in a tie that the order of summation decides
+    lambda spark, sf_dir: plain(runs.metric_spread(run_table(spark, sf_dir)), 9),
     sql(
         f"SELECT metric, count(*) AS runs, CASE WHEN {_LOWER} THEN min(value) ELSE max(value) END AS best,"
         f" CASE WHEN {_LOWER} THEN max(value) ELSE min(value) END AS worst, "
@@ -188,6 +189,7 @@ ENTRIES["X6_metric_spread"] = (
             "avg(value) AS mean",
             "stddev_samp(value) AS std",
             "(max(value) - min(value)) / avg(value) * 100 AS spread_percent",
+            digits=9,
         )
         + ", CASE WHEN (max(value) - min(value)) / avg(value) < 0.05 THEN 'similar' WHEN (max(value) - min(value)) / avg(value) < 0.2"
         " THEN 'moderate' ELSE 'high' END AS consistency FROM metrics GROUP BY metric",
@@ -219,11 +221,11 @@ def pairs(spark, sf_dir):
 
 
 SQL_PAIRS = (
-    "pairs AS (SELECT a.run_id AS champion_id, b.run_id AS challenger_id FROM runs a JOIN runs b ON b.o_orderkey = a.o_orderkey + 3)",
-    "faced AS (SELECT champion_id, challenger_id, metric, a.value AS champion, b.value AS challenger FROM"
+    "pairs AS MATERIALIZED (SELECT a.run_id AS champion_id, b.run_id AS challenger_id FROM runs a JOIN runs b ON b.o_orderkey = a.o_orderkey + 3)",
+    "faced AS MATERIALIZED (SELECT champion_id, challenger_id, metric, a.value AS champion, b.value AS challenger FROM"
     " (SELECT p.*, metric, value FROM pairs p JOIN metrics m ON m.run_id = champion_id) a FULL JOIN"
     " (SELECT p.*, metric, value FROM pairs p JOIN metrics m ON m.run_id = challenger_id) b USING (champion_id, challenger_id, metric))",
-    f"judged AS (SELECT *, CASE WHEN champion IS NULL OR challenger IS NULL THEN NULL WHEN ({_LOWER} AND challenger < champion)"
+    f"judged AS MATERIALIZED (SELECT *, CASE WHEN champion IS NULL OR challenger IS NULL THEN NULL WHEN ({_LOWER} AND challenger < champion)"
     f" OR (NOT {_LOWER} AND challenger > champion) THEN 'challenger' ELSE 'champion' END AS winner FROM faced)",
 )
 ENTRIES["X8_champion_challenger"] = (

@@ -12,9 +12,6 @@ from meterline.operators.ordered import running_totals
 from meterline.operators.profile import bin_index, histogram
 from meterline.operators.quantiles import quantiles
 
-ROC_BINS = 1000
-
-
 def _regression_aggregates():
     error = F.col("label") - F.col("prediction")
     absolute, squared = F.avg(F.abs(error)), F.avg(error * error)
@@ -76,8 +73,9 @@ def roc_auc(df: DataFrame) -> DataFrame:
     """Exact area under the ROC curve per model by the rank sum; null with one class only.
 
     Rows collapse per score first; the running count of negatives is a distributed prefix sum.
+    Rows without a score have no rank and are left out.
     """
-    per_score = df.groupBy("model", "score").agg(
+    per_score = df.where(F.col("score").isNotNull()).groupBy("model", "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
     ranked = running_totals(per_score, ["score"], ["neg"], ["model"])
@@ -88,9 +86,19 @@ def roc_auc(df: DataFrame) -> DataFrame:
 
 
 def compare_classifiers(df: DataFrame) -> DataFrame:
-    """Metrics and area per model over (model, label, prediction, score), best f1 first."""
+    """Metrics and area per model over (model, label, prediction, score), best f1 first.
+
+    ``unscored`` counts the rows without a score; they count for all metrics but the area.
+    """
     # both sides have one row per model
-    return _hits(df).join(roc_auc(df), "model").orderBy(F.col("f1_score").desc(), "model")
+    hits = _hits(df).withColumnRenamed("model", "_model")
+    both = hits.join(roc_auc(df), F.col("_model").eqNullSafe(F.col("model")), "left")
+    unscored = df.groupBy(F.col("model").alias("_name")).agg(
+        F.count_if(F.col("score").isNull()).alias("unscored")
+    )
+    both = both.join(unscored, F.col("_model").eqNullSafe(F.col("_name")))
+    named = both.drop("model", "_name").withColumnRenamed("_model", "model")
+    return named.orderBy(F.col("f1_score").desc(), "model")
 
 
 def binary_metrics(df: DataFrame) -> DataFrame:
@@ -102,26 +110,33 @@ def confusion_matrix(df: DataFrame) -> DataFrame:
     return df.groupBy("label", "prediction").agg(F.count("*").alias("row_count"))
 
 
-def roc_points(df: DataFrame, bins: int = ROC_BINS) -> DataFrame:
-    """(threshold, fpr, tpr) per score bin, from the highest threshold down, for scores in 0..1."""
-    at = F.least(F.floor(F.col("score") * bins), F.lit(bins - 1))
-    per_bin = df.groupBy(at.alias("bin")).agg(
-        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
+def roc_points(df: DataFrame, bins: int | None = None) -> DataFrame:
+    """(threshold, fpr, tpr) per distinct score; rows without a score are left out.
+
+    The rates are running totals from the highest score down, found as distributed prefix sums.
+    ``bins`` asks for that many equal bins of scores in 0..1 instead.
+    """
+    at = F.col("score")
+    if bins is not None:
+        at = F.least(F.floor(at * bins), F.lit(bins - 1)) / float(bins)
+    per_score = (
+        df.where(F.col("score").isNotNull())
+        .groupBy(at.alias("threshold"))
+        .agg(
+            F.count_if(F.col("label") == 1).alias("pos"),
+            F.count_if(F.col("label") != 1).alias("neg"),
+        )
     )
-    # at most ``bins`` rows from here on
-    down = Window.orderBy(F.col("bin").desc())
-    whole = Window.orderBy(F.lit(1)).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
+    whole = per_score.agg(F.sum("pos"), F.sum("neg")).first()
+    down = running_totals(
+        per_score.withColumn("_down", -F.col("threshold")), ["_down"], ["pos", "neg"]
     )
-    so_far = down.rowsBetween(Window.unboundedPreceding, 0)
 
-    def rate(c: str):
-        return F.try_divide(F.sum(c).over(so_far).cast("double"), F.sum(c).over(whole))
+    def rate(name: str, total: int | None):
+        return F.try_divide(F.col(f"{name}_running").cast("double"), F.lit(float(total or 0)))
 
-    return per_bin.select(
-        (F.col("bin") / float(bins)).alias("threshold"),
-        rate("neg").alias("fpr"),
-        rate("pos").alias("tpr"),
+    return down.select(
+        "threshold", rate("neg", whole[1]).alias("fpr"), rate("pos", whole[0]).alias("tpr")
     )
 
 

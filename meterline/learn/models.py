@@ -66,12 +66,19 @@ def lasso(train: DataFrame, alpha: float = 1.0) -> Model:
     ).fit(train)
 
 
+def _depth(wanted: int | None) -> int:
+    """Spark's trees stop at ``MAX_DEPTH``, which also stands for "no limit" (None)."""
+    if wanted is not None and wanted > MAX_DEPTH:
+        raise ValueError(f"max_depth {wanted} is beyond {MAX_DEPTH}, the deepest tree there is")
+    return MAX_DEPTH if wanted is None else wanted
+
+
 def rf_regressor(
     train: DataFrame, n_estimators: int = 100, max_depth: int | None = 10, seed: int = SEED
 ) -> Model:
     return RandomForestRegressor(
         numTrees=n_estimators,
-        maxDepth=min(max_depth or MAX_DEPTH, MAX_DEPTH),
+        maxDepth=_depth(max_depth),
         featureSubsetStrategy="all",
         maxMemoryInMB=TREE_MEMORY_MB,
         seed=seed,
@@ -108,7 +115,7 @@ def rf_classifier(
 ) -> Model:
     return RandomForestClassifier(
         numTrees=n_estimators,
-        maxDepth=min(max_depth, MAX_DEPTH),
+        maxDepth=_depth(max_depth),
         minInstancesPerNode=min_samples_leaf,
         featureSubsetStrategy="sqrt",
         maxMemoryInMB=TREE_MEMORY_MB,

@@ -98,14 +98,23 @@ class Discriminant:
 _MOMENTS = "label double, n double, sums array<double>, products array<double>"
 
 
-def _class_moments(df: DataFrame, width: int) -> dict[float, tuple[float, np.ndarray, np.ndarray]]:
-    """Rows, sums and products per class: one partial row per task and class, summed by position."""
+#: Classes of one discriminant; each brings 1 + d + d * d numbers to the driver.
+MAX_CLASSES = 1000
+
+
+def _class_moments(
+    df: DataFrame, width: int, shift: np.ndarray
+) -> dict[float, tuple[float, np.ndarray, np.ndarray]]:
+    """Rows, sums and products per class: one partial row per task and class, summed by position.
+
+    ``shift`` is taken off every row first, so that large values don't drown their differences.
+    """
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state: dict[float, list] = {}
         for batch in batches:
             for label, rows in batch.groupby("label"):
-                x = np.stack(rows["x"].to_numpy())
+                x = np.stack(rows["x"].to_numpy()) - shift
                 entry = state.setdefault(float(label), [0.0, np.zeros(width), np.zeros((width, width))])
                 entry[0] += len(x)
                 entry[1] += x.sum(axis=0)
@@ -124,6 +133,8 @@ def _class_moments(df: DataFrame, width: int) -> dict[float, tuple[float, np.nda
     )
     totals = cells.groupBy("label", "at").agg(F.sum("value").alias("value"))
     flat: dict[float, np.ndarray] = {}
+    if totals.where("at = 0").limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes: the label looks like a measurement")
     # classes times (1 + d + d * d) numbers
     for r in totals.collect():
         flat.setdefault(r["label"], np.zeros(1 + width + width * width))[r["at"]] = r["value"]
@@ -134,16 +145,23 @@ def _class_moments(df: DataFrame, width: int) -> dict[float, tuple[float, np.nda
 
 
 def linear_discriminant(df: DataFrame, width: int, count: int | None = None) -> Discriminant:
-    """Fit on (label, features) with standardised features; constant directions are left out."""
-    moments = _class_moments(df, width)
+    """Fit on (label, features), which are standardised here; constant directions are left out."""
+    some = df.select(vector_to_array("features").alias("x")).first()
+    shift = np.array(some["x"]) if some else np.zeros(width)
+    moments = _class_moments(df, width, shift)
     sizes = np.array([m[0] for m in moments.values()])
     means = np.array([m[1] / m[0] for m in moments.values()])
     total, classes = sizes.sum(), len(moments)
     within = sum(m[2] - np.outer(m[1], m[1]) / m[0] for m in moments.values()) / (total - classes)
     centre = (sizes[:, None] * means).sum(axis=0) / total
+    apart = sum(n * np.outer(m - centre, m - centre) for n, m in zip(sizes, means, strict=True))
+    spread = np.sqrt(np.maximum(np.diag(within) * (total - classes) + np.diag(apart), 0) / total)
+    # a constant column is left out by an endless unit
+    unit = np.where(spread > 1e-12 * (1 + np.abs(centre)), spread, np.inf)
+    within = within / np.outer(unit, unit)
     values, vectors = np.linalg.eigh((within + within.T) / 2)
     solid = values > 1e-10 * values.max()
-    whiten = vectors[:, solid] / np.sqrt(values[solid])
+    whiten = vectors[:, solid] / np.sqrt(values[solid]) / unit[:, None]
     between = np.sqrt(sizes / total)[:, None] * ((means - centre) @ whiten)
     _, strength, directions = np.linalg.svd(between, full_matrices=False)
     rank = int((strength > 1e-10 * strength[0]).sum()) if len(strength) else 0
@@ -153,7 +171,7 @@ def linear_discriminant(df: DataFrame, width: int, count: int | None = None) ->
     limit = min(count or classes - 1, rank)
     return Discriminant(
         classes=list(moments),
-        centre=centre,
+        centre=centre + shift,
         projection=projection[:, :limit],
         weights=projection @ placed.T,
         offsets=np.log(sizes / total) - 0.5 * (placed**2).sum(axis=1),

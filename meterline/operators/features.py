@@ -112,10 +112,13 @@ def to_feature_store(
 
 
 def from_feature_store(store: DataFrame, version: str, names: Sequence[str]) -> DataFrame:
-    """Back to one row per trip; the fixed name list keeps the pivot to a single pass."""
+    """Back to one row per trip; the fixed name list keeps the pivot to a single pass.
+
+    Where a trip has several values of a feature, the largest is taken.
+    """
     return (
         store.filter((F.col("feature_version") == version) & F.col("feature_name").isin(*names))
         .groupBy("trip_id")
         .pivot("feature_name", list(names))
-        .agg(F.first("feature_value"))
+        .agg(F.max("feature_value"))
     )

@@ -141,15 +141,18 @@ def running_totals(
     earlier = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy("_part", *key).agg(*[F.sum(c).alias(c) for c in columns])
     before = totals.select(
-        "_part",
-        *key,
+        F.col("_part").alias("_of_part"),
+        *[F.col(k).alias(f"_of_{k}") for k in key],
         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}_before") for c in columns],
     )
+    same = F.col("_part") == F.col("_of_part")
+    for k in key:  # a null key is a key like any other
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
     return (
         placed.withColumns({f"_{c}_inside": F.sum(c).over(inside) for c in columns})
-        .join(before, ["_part", *key])
+        .join(before, same)
         .withColumns(
             {f"{c}_running": F.col(f"_{c}_before") + F.col(f"_{c}_inside") for c in columns}
         )
-        .drop("_part", *[f"_{c}_{x}" for c in columns for x in ("before", "inside")])
+        .drop("_part", "_of_part", *[f"_of_{k}" for k in key], *[f"_{c}_{x}" for c in columns for x in ("before", "inside")])
     )

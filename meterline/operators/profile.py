@@ -88,12 +88,19 @@ def bin_index(col: Column, low: float, high: float, bins: int) -> Column:
     return F.when(col.isNotNull(), F.least(at, F.lit(bins - 1)))
 
 
+def _finite(name: str):
+    return F.when(F.abs(F.col(name)) < float("inf"), F.col(name))
+
+
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """(column_name, bin, bin_start, row_count) of the non-empty equal-width bins."""
+    """(column_name, bin, bin_start, row_count) of the non-empty equal-width bins.
+
+    The bins span the finite values; infinities are counted apart in the bins -1 and ``bins``.
+    """
     columns = schemas.present(df, columns)
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     limits = values.agg(
-        *[f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("l", F.min), ("h", F.max))]
+        *[f(_finite(c)).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("l", F.min), ("h", F.max))]
     ).first()
     found = [(i, c) for i, c in enumerate(columns) if limits[f"l{i}"] is not None]
     if not found:
@@ -105,12 +112,15 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
         low, high = limits[f"l{i}"], limits[f"h{i}"]
         # a constant column gets a bin range of width 1 around its value
         start, width = (low, (high - low) / bins) if high > low else (low - 0.5, 1.0 / bins)
-        index = bin_index(F.col(c), low, high, bins)
+        index = bin_index(_finite(c), low, high, bins)
+        up, down = F.col(c) == float("inf"), F.col(c) == float("-inf")
         entries.append(
             F.struct(
                 F.lit(c).alias("column_name"),
-                index.alias("bin"),
-                (F.lit(start) + index * F.lit(width)).alias("bin_start"),
+                F.when(up, F.lit(bins)).when(down, F.lit(-1)).otherwise(index).alias("bin"),
+                F.when(up | down, F.col(c))
+                .otherwise(F.lit(start) + index * F.lit(width))
+                .alias("bin_start"),
             )
         )
     return (

@@ -1,163 +1,149 @@
-"""Exact interpolated quantiles whose memory does not grow with the table.
+"""Exact interpolated quantiles by distributed rank selection.
 
-``percentile`` keeps one counter per distinct value, so it is used only where a distinct-count
-sketch shows that the map stays small. Other columns are narrowed first: an approximate sketch
-brackets the wanted ranks, exact counts verify the bracket, and ``percentile`` sees only the
-values inside it. Every pass is one aggregate with partial aggregation and a one-row result.
+Every wanted rank starts with its column's range as bracket. A pass cuts each bracket into equal
+parts, counts the values by (bracket, part) with map-side counters, and follows the part that holds
+the rank; that part's least and largest value are the next bracket, until they are equal. No
+task sees more than its rows, and the driver at most ``CELLS`` counts a pass, whatever the table.
+
+Parts are equal in the value on one pass and in its logarithm on the next, so neither outliers nor
+values over many magnitudes keep a bracket wide. Null and NaN don't count; infinities do.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, replace
+from collections import defaultdict
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.columns import number_literal, quoted
+from meterline.functions.columns import quoted
+
+#: Counts that one pass brings to the driver, and parts of a bracket at most.
+CELLS = 32_768
+PARTS = 1_024
+
 
-MAP_LIMIT = 200_000
-PASS_LIMIT = 2_000_000
-SKETCH_ACCURACY = 10_000
-# targets counted, and sketches built, in one pass
-COUNTED_PER_PASS = 48
-SKETCHES_PER_PASS = 16
+@dataclass
+class _Bracket:
+    """A range of one column, the number of values below it, and the ranks inside it."""
+
+    low: float
+    high: float
+    below: int
+    ranks: list[tuple[str, int]] = field(default_factory=list)
 
 
 @dataclass
-class _Target:
-    """One wanted rank of one column and what is known about it so far."""
-
-    column: str
-    prob: float
-    total: int
-    low: float | None = None
-    high: float | None = None
-    below: int = 0
-    inside: int = 0
-    distinct: int = 0
-
-    @property
-    def position(self) -> float:
-        return self.prob * (self.total - 1)
-
-    @property
-    def ranks(self) -> tuple[int, int]:
-        return math.floor(self.position), math.ceil(self.position)
-
-    def value(self) -> Column:
-        """The column inside the bracket, null outside."""
-        col = F.col(self.column).cast("double")
-        keep = F.lit(True)
-        if self.low is not None:
-            keep = keep & (col >= F.lit(self.low))
-        if self.high is not None:
-            keep = keep & (col <= F.lit(self.high))
-        return F.when(keep, col)
-
-
-def _fraction(rank: int, last: int) -> float:
-    """A fraction p for which p * last is exactly the rank in floating point."""
-    if last <= 0:
-        return 0.0
-    p = rank / last
-    for candidate in (p, math.nextafter(p, 0.0), math.nextafter(p, 1.0)):
-        if candidate * last == rank:
-            return min(1.0, candidate)
-    return min(1.0, p)
-
-
-def _chunks(items: list, size: int) -> Iterator[list]:
-    for start in range(0, len(items), size):
-        yield items[start : start + size]
-
-
-def _count(df: DataFrame, targets: list[_Target]) -> None:
-    """Exact row counts below and inside every bracket, and the distinct values inside."""
-    for chunk in _chunks(targets, COUNTED_PER_PASS):
-        counts = []
-        for i, t in enumerate(chunk):
-            under = F.lit(False) if t.low is None else F.col(t.column).cast("double") < F.lit(t.low)
-            counts += [
-                F.count_if(under).alias(f"b{i}"),
-                F.count(t.value()).alias(f"n{i}"),
-                F.approx_count_distinct(t.value(), 0.2).alias(f"d{i}"),
-            ]
-        seen = df.agg(*counts).first()
-        for i, t in enumerate(chunk):
-            t.below, t.inside, t.distinct = seen[f"b{i}"], seen[f"n{i}"], seen[f"d{i}"]
-
-
-def _sketch(df: DataFrame, targets: list[_Target]) -> dict[int, tuple[float, float]]:
-    """Approximate values around each rank; targets with the same bracket share a sketch."""
-    margin = 2.0 / SKETCH_ACCURACY
-    shared: dict[tuple, list[int]] = {}
-    for i, t in enumerate(targets):
-        shared.setdefault((t.column, t.low, t.high), []).append(i)
-    edges: dict[int, tuple[float, float]] = {}
-    for chunk in _chunks(list(shared.values()), SKETCHES_PER_PASS):
-        probes = []
-        for j, members in enumerate(chunk):
-            wanted = []
-            for i in members:
-                t = targets[i]
-                at = (t.position - t.below) / max(1, t.inside - 1)
-                wanted += [max(0.0, at - margin), min(1.0, at + margin)]
-            value = targets[members[0]].value()
-            probes.append(F.percentile_approx(value, wanted, SKETCH_ACCURACY).alias(f"e{j}"))
-        row = df.agg(*probes).first()
-        for j, members in enumerate(chunk):
-            values = row[f"e{j}"]
-            for k, i in enumerate(members):
-                edges[i] = (float(values[2 * k]), float(values[2 * k + 1]))
-    return edges
-
-
-def _narrow(df: DataFrame, targets: list[_Target]) -> list[_Target]:
-    """One round: sketch the neighbourhood of each rank, then verify it by exact counts."""
-    edges = _sketch(df, targets)
-    trial = [
-        replace(t, low=edges[i][0], high=edges[i][1])
-        for i, t in enumerate(targets)
-    ]
-    _count(df, trial)
-    missed = []
-    for old, new in zip(targets, trial, strict=True):
-        first, last = old.ranks
-        early, late = first < new.below, last >= new.below + new.inside
-        if early:
-            new.low = old.low
-        if late:
-            new.high = old.high
-        if early or late:
-            missed.append(new)
-    if missed:
-        _count(df, missed)
-    return trial
-
-
-def _sizes(df: DataFrame, columns: list[str]) -> tuple[dict[str, int], dict[str, int]]:
-    """Values and distinct values per column; a coarse sketch gives the order of magnitude."""
-    row = df.agg(
-        *[F.expr(f"count({quoted(c)}) AS n{i}") for i, c in enumerate(columns)],
-        *[F.expr(f"approx_count_distinct({quoted(c)}, 0.2) AS d{i}") for i, c in enumerate(columns)],
-    ).first()
-    total = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-    return total, {c: min(total[c], row[f"d{i}"]) for i, c in enumerate(columns)}
-
-
-def _passes(items: list, distinct) -> list[list]:
-    """Items in groups whose counters together stay within the limit of one pass."""
-    groups: list[list] = []
-    room = 0
-    for item in items:
-        if not groups or distinct[item] > room:
-            groups.append([])
-            room = PASS_LIMIT
-        groups[-1].append(item)
-        room -= distinct[item]
-    return groups
+class _Range:
+    count: int
+    lowest: int
+    highest: int
+    low: float | None
+    high: float | None
+
+
+def _ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, _Range]:
+    """Number of values, of negative and positive infinities, and the finite range per column."""
+    cells = []
+    for i, c in enumerate(columns):
+        x = f"nanvl(CAST({quoted(c)} AS DOUBLE), NULL)"
+        finite = f"CASE WHEN abs({x}) < double('Infinity') THEN {x} END"
+        cells += [
+            F.expr(f"count({x}) AS n{i}"),
+            F.expr(f"count_if({x} = double('-Infinity')) AS b{i}"),
+            F.expr(f"count_if({x} = double('Infinity')) AS t{i}"),
+            F.expr(f"min({finite}) AS l{i}"),
+            F.expr(f"max({finite}) AS h{i}"),
+        ]
+    row = df.agg(*cells).first()
+    return {
+        c: _Range(*[row[f"{letter}{i}"] for letter in "nbtlh"]) for i, c in enumerate(columns)
+    }
+
+
+def _scaled(value: Column, logarithm: bool) -> Column:
+    # halves, so that a bracket as wide as the numbers go has a finite width
+    return F.signum(value) * F.log1p(F.abs(value)) if logarithm else value * 0.5
+
+
+def _part(parts: int, logarithm: bool) -> Column:
+    low, high = _scaled(F.col("low"), logarithm), _scaled(F.col("high"), logarithm)
+    at = F.try_divide(_scaled(F.col("x"), logarithm) - low, high - low)
+    part = F.floor(F.coalesce(at, F.lit(0.0)) * parts)
+    return F.least(F.greatest(part, F.lit(0)), F.lit(parts - 1)).cast("int")
+
+
+def _select(
+    df: DataFrame, wanted: dict[str, set[int]], ranges: dict[str, _Range], slack: float = 0.0
+) -> dict[tuple[str, int], float]:
+    """The value at each 0-based rank; within ``slack`` of the column's count if that is given."""
+    spark = df.sparkSession
+    columns = sorted(wanted)
+    found: dict[tuple[str, int], float] = {}
+    brackets: dict[int, _Bracket] = {}
+    for i, c in enumerate(columns):
+        r = ranges[c]
+        for rank in wanted[c]:
+            if rank < r.lowest:
+                found[c, rank] = -math.inf
+            elif rank >= r.count - r.highest:
+                found[c, rank] = math.inf
+            elif r.low == r.high:
+                found[c, rank] = r.low
+            else:
+                held = brackets.setdefault(i, _Bracket(r.low, r.high, r.lowest))
+                held.ranks.append((c, rank))
+    if not brackets:
+        return found
+    pairs = ", ".join(
+        f"struct({i} AS path, CAST({quoted(columns[i])} AS DOUBLE) AS x)" for i in brackets
+    )
+    values = df.select(F.inline(F.expr(f"array({pairs})"))).where("abs(x) < double('Infinity')")
+    start = [(i, b.low, b.high) for i, b in brackets.items()]
+    # one row per column, later one per wanted rank
+    values = values.join(F.broadcast(spark.createDataFrame(start, "path int, low double, high double")), "path")
+    logarithm = False
+    while brackets:
+        parts = max(2, min(PARTS, CELLS // len(brackets)))
+        state = values.withColumn("part", _part(parts, logarithm))
+        cells = defaultdict(list)
+        counted = state.groupBy("path", "part").agg(
+            F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
+        )
+        for row in counted.collect():
+            cells[row["path"]].append((row["part"], row["n"], row["low"], row["high"]))
+        following: dict[tuple[int, int], _Bracket] = {}
+        for path, bracket in brackets.items():
+            ordered = sorted(cells[path])
+            for c, rank in bracket.ranks:
+                below = bracket.below
+                for part, n, low, high in ordered:
+                    if rank < below + n:
+                        break
+                    below += n
+                if low == high or n <= slack * ranges[c].count:
+                    found[c, rank] = low
+                else:
+                    held = following.setdefault((path, part), _Bracket(low, high, below))
+                    held.ranks.append((c, rank))
+        if not following:
+            break
+        kept = [
+            (path, part, i, b.low, b.high) for i, ((path, part), b) in enumerate(following.items())
+        ]
+        schema = "path int, part int, next int, next_low double, next_high double"
+        values = state.join(F.broadcast(spark.createDataFrame(kept, schema)), ["path", "part"]).select(
+            F.col("next").alias("path"),
+            "x",
+            F.col("next_low").alias("low"),
+            F.col("next_high").alias("high"),
+        )
+        brackets = dict(enumerate(following.values()))
+        logarithm = not logarithm
+    return found
 
 
 def quantiles(
@@ -167,71 +153,41 @@ def quantiles(
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
-    total, distinct = _sizes(df, columns)
-    small = [c for c in columns if distinct[c] <= MAP_LIMIT]
-    large = [c for c in columns if distinct[c] > MAP_LIMIT]
-
-    out: dict[str, list[float | None]] = {}
-    wanted = "array(" + ", ".join(number_literal(p) for p in probs) + ")"
-    for group in _passes(small, distinct):
-        row = df.agg(
-            *[
-                F.expr(f"percentile(CAST({quoted(c)} AS DOUBLE), {wanted}) AS q{i}")
-                for i, c in enumerate(group)
-            ]
-        ).first()
-        for i, c in enumerate(group):
-            out[c] = list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)
-
-    targets = [_Target(c, float(p), total[c], inside=total[c]) for c in large for p in probs]
-    found = {(t.column, t.prob): value for t, value in _select(df, targets)}
-    for c in large:
-        out[c] = [found[c, float(p)] for p in probs]
-    return {c: out[c] for c in columns}
-
-
-def _select(df: DataFrame, targets: list[_Target]) -> list[tuple[_Target, float]]:
-    done: list[_Target] = []
-    wide = list(targets)
-    while wide:
-        narrowed = _narrow(df, wide)
-        again = []
-        for old, new in zip(wide, narrowed, strict=True):
-            stuck = (old.low, old.high) == (new.low, new.high)
-            (again if new.distinct > MAP_LIMIT and not stuck else done).append(new)
-        wide = again
-    result = []
-    for group in _passes(list(range(len(done))), [t.distinct for t in done]):
-        exprs = []
-        for i in group:
-            t = done[i]
-            pair = [_fraction(r - t.below, t.inside - 1) for r in t.ranks]
-            exprs.append(F.percentile(t.value(), F.lit(pair)).alias(f"v{i}"))
-        row = df.agg(*exprs).first()
-        for i in group:
-            t = done[i]
-            a, b = row[f"v{i}"]
-            w = t.position - t.ranks[0]
-            result.append((t, a if w == 0 else (1 - w) * a + w * b))
-    return result
+    ranges = _ranges(df, columns)
+
+    def place(c: str, p: float) -> tuple[int, int, float]:
+        at = float(p) * (ranges[c].count - 1)
+        return math.floor(at), math.ceil(at), at - math.floor(at)
+
+    filled = [c for c in columns if ranges[c].count]
+    wanted = {c: {r for p in probs for r in place(c, p)[:2]} for c in filled}
+    found = _select(df, wanted, ranges)
+
+    def value(c: str, p: float) -> float | None:
+        if c not in wanted:
+            return None
+        first, second, share = place(c, p)
+        a, b = found[c, first], found[c, second]
+        return a if share == 0 or a == b else (1 - share) * a + share * b
+
+    return {c: [value(c, p) for p in probs] for c in columns}
 
 
 def approx_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = SKETCH_ACCURACY
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = 10_000
 ) -> dict[str, list[float | None]]:
-    """One-pass sketch; returns elements of the column, without interpolation."""
-    row = df.agg(
-        *[
-            F.percentile_approx(F.col(c).cast("double"), [float(p) for p in probs], accuracy).alias(
-                f"q{i}"
-            )
-            for i, c in enumerate(columns)
-        ]
-    ).first()
-    return {
-        c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)
-        for i, c in enumerate(columns)
-    }
+    """Elements whose rank is within 1 / ``accuracy`` of the wanted one, in fewer passes."""
+    columns = list(dict.fromkeys(columns))
+    if not columns:
+        return {}
+    ranges = _ranges(df, columns)
+
+    def rank(c: str, p: float) -> int:
+        return max(0, math.ceil(float(p) * ranges[c].count) - 1)
+
+    wanted = {c: {rank(c, p) for p in probs} for c in columns if ranges[c].count}
+    found = _select(df, wanted, ranges, 1 / accuracy)
+    return {c: [found.get((c, rank(c, p))) for p in probs] for c in columns}
 
 
 def iqr_fences(

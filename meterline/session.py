@@ -16,6 +16,8 @@ def local_session(cpus: int | str = 8, app: str = "meterline", **conf: str) -> S
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # small local files: one split per row group, so that all cores read
+        .config("spark.sql.files.openCostInBytes", "512k")
         # wide feature projections: beyond 8000 bytes of bytecode the JVM does not compile a method
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("METERLINE_DRIVER_MEMORY", "8g"))

@@ -33,20 +33,10 @@ def scan_parquet(
     spark: SparkSession,
     *paths: str,
     schema: T.StructType | None = None,
-    spread: bool = False,
 ) -> DataFrame:
-    """Read parquet files lazily; NaN becomes null.
-
-    ``spread`` deals the rows out again when there are fewer files than cores and few splits: a
-    split need not hold a row group, so a small file is often read by a single task. A large
-    table has many files or many splits and is left alone.
-    """
+    """Read parquet files lazily; NaN becomes null."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(*paths)
-    cores = spark.sparkContext.defaultParallelism
-    if spread and len(df.inputFiles()) < cores and df.rdd.getNumPartitions() < 4 * cores:
-        df = df.repartition(cores)
-    return nan_to_null(df)
+    return nan_to_null(reader.parquet(*paths))
 
 
 @dataclass(frozen=True)
