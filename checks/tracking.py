@@ -415,7 +415,7 @@ def families(spark, sf_dir):
     trainers = {"LogisticRegression": {"max_iter": 100}}
     train_family(spark, tips, "high_tip", "split_key", "classification", where, trainers)
     columns = ["trip_distance", "fare_amount", "tip_amount", "speed_mph"]
-    train_clusters(spark, trips.select(*columns), where, restarts=1)
+    train_clusters(spark, trips.select(*columns), where)
     train_reductions(spark, trips, where)
     done = runs.training_report(spark.table(where.runs_table)).drop("run_id")
     lost = spark.createDataFrame(

@@ -3,30 +3,23 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml import Model
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.columns import number_literal, quoted
+from meterline.learn.lloyd import Centres, fit_many
 from meterline.learn.prep import SEED
 
 
-def kmeans(df: DataFrame, k: int = 8, restarts: int = 10, max_iter: int = 300, seed: int = SEED) -> Model:
-    """Best of several starts by the sum of squared distances."""
-    best = None
-    # stop once all centres together moved less than 0.01 standard deviations
-    tolerance = 0.01 / math.sqrt(k)
-    for i in range(restarts):
-        start = KMeans(k=k, initMode="k-means||", maxIter=max_iter, tol=tolerance, seed=seed + i)
-        model = start.fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+def kmeans(df: DataFrame, k: int = 8, restarts: int = 10, max_iter: int = 300, seed: int = SEED) -> Centres:
+    """Best of several starts by the sum of squared distances, all in the same passes."""
+    return fit_many(df, [k], restarts, max_iter, seed=seed)[k]
 
 
 def gaussian_mixture(df: DataFrame, k: int = 8, max_iter: int = 100, seed: int = SEED) -> Model:
@@ -41,7 +34,7 @@ def mixture_criteria(model: Model, rows: int) -> dict[str, float]:
     return {"bic": free * math.log(rows) - 2 * fit, "aic": 2 * free - 2 * fit}
 
 
-def assign(model: Model, df: DataFrame) -> DataFrame:
+def assign(model: Model | Centres, df: DataFrame) -> DataFrame:
     """Add ``cluster``; a mixture also leaves ``probability``."""
     return model.transform(df).withColumnRenamed("prediction", "cluster")
 
@@ -101,21 +94,19 @@ def separation(df: DataFrame, columns: Sequence[str], label: str = "cluster") ->
 
 def elbow(df: DataFrame, ks: Sequence[int] = range(2, 11), mixture: bool = False, restarts: int = 10) -> DataFrame:
     """(k, cost): inertia of k-means or BIC of a mixture. The table should be kept in memory."""
-    rows = []
-    total = df.count() if mixture else 0
-    for k in ks:
-        if mixture:
-            cost = mixture_criteria(gaussian_mixture(df, k), total)["bic"]
-        else:
-            cost = kmeans(df, k, restarts).summary.trainingCost
-        rows.append((k, float(cost)))
+    if mixture:
+        total = df.count()
+        costs = {k: mixture_criteria(gaussian_mixture(df, k), total)["bic"] for k in ks}
+    else:
+        costs = {k: found.cost for k, found in fit_many(df, list(ks), restarts).items()}
+    rows = [(k, float(cost)) for k, cost in costs.items()]
     return df.sparkSession.createDataFrame(rows, "k int, cost double")
 
 
-def silhouette_scan(
-    df: DataFrame, ks: Sequence[int] = range(2, 11), fit: Callable[[DataFrame, int], Model] = kmeans
-) -> DataFrame:
-    rows = [(k, silhouette_sq(assign(fit(df, k), df))) for k in ks]
+def silhouette_scan(df: DataFrame, ks: Sequence[int] = range(2, 11), restarts: int = 10) -> DataFrame:
+    """(k, silhouette_sq) of the best k-means for each k."""
+    found = fit_many(df, list(ks), restarts)
+    rows = [(k, silhouette_sq(assign(found[k], df))) for k in ks]
     return df.sparkSession.createDataFrame(rows, "k int, silhouette_sq double")
 
 
@@ -129,7 +120,7 @@ def cluster_profile(df: DataFrame, columns: Sequence[str], label: str = "cluster
 
 
 def centers(
-    df: DataFrame, model: Model, columns: Sequence[str], scales: dict[str, tuple[float, float]]
+    df: DataFrame, model: Model | Centres, columns: Sequence[str], scales: dict[str, tuple[float, float]]
 ) -> DataFrame:
     """(cluster, column, value): centres or component means in the original units."""
     found = (

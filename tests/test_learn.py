@@ -3,10 +3,11 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from conftest import rows
-from meterline.learn import clusters, evaluation, models, prep, reduction
+from meterline.learn import clusters, evaluation, lloyd, models, prep, reduction
 
 
 @pytest.fixture(scope="module")
@@ -141,3 +142,18 @@ def test_split_ignores_partitioning(spark):
 def test_constant_columns_scale_by_one(spark):
     df = spark.createDataFrame([(0.3,)] * 7, "x double").repartition(3)
     assert prep.fit_scales(df, ["x"])["x"] == (pytest.approx(0.3), 1.0)
+
+
+def test_kmeans_restarts_share_their_passes(spark):
+    rng = np.random.default_rng(6)
+    middles = rng.normal(size=(5, 3)) * 8
+    points = np.vstack([rng.normal(m, 0.3, size=(60, 3)) for m in middles])
+    df = spark.createDataFrame([(Vectors.dense(p),) for p in points], ["features"]).repartition(4)
+    found = lloyd.fit_many(df, [2, 5], restarts=8)
+    assert set(found) == {2, 5} and found[5].cost < found[2].cost
+    nearest = ((points[:, None] - found[5].points) ** 2).sum(axis=2)
+    assert found[5].cost == pytest.approx(nearest.min(axis=1).sum(), rel=1e-6)
+    placed = sorted(r["cluster"] for r in clusters.assign(found[5], df).collect())
+    assert placed == sorted(nearest.argmin(axis=1).tolist())
+    for i in range(5):
+        assert found[5].points[i] == pytest.approx(points[nearest.argmin(axis=1) == i].mean(axis=0), abs=0.01)
