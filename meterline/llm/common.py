@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from meterline.sources.staging import stage
+
 #: Into how many parts the rows of one key are dealt before a lookup by that key.
 SALTS = 16
 
@@ -77,5 +80,38 @@ def strings(batch: pa.RecordBatch, name: str) -> list[str]:
     return [v.decode("utf-8", "replace") for v in utf8(batch, name)]
 
 
+def filter_batches(df: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]]) -> DataFrame:
+    """The rows of ``df`` for which ``keep`` says so of each batch; columns may have any names."""
+    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    return map_partitions(plain, _Filter(keep, df.columns), plain.schema).toDF(*df.columns)
+
+
+class _Filter:
+    def __init__(self, keep, names: list[str]):
+        self.keep, self.names = keep, names
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                kept = self.keep(batch.rename_columns(self.names))
+                yield batch.filter(pa.array(kept, pa.bool_()))
+
+
+def quoted(names: list[str]) -> list[Column]:
+    return [F.col(f"`{c.replace('`', '``')}`") for c in names]
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Written once and read back, after which the shuffles behind it may go.
+
+    Spark drops the shuffle files of a finished step when the driver collects its garbage, which a
+    quiet driver seldom does; an operator of many steps would hold them all on the executors' disks.
+    """
+    out = stage(df, name)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def salt_of(col: Column, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(col), F.lit(salts)).cast("int")

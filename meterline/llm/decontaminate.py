@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm.common import map_batches, strings
+from meterline.llm.common import filter_batches, map_batches, strings
 from meterline.llm.shingles import Hashes, mix, shingle_hashes, shingles_of, word_hashes
 
 HASHES = 32
@@ -103,9 +103,8 @@ def candidates(shingles: Hashes, block: Block) -> set[tuple[int, int]]:
 
 
 class _Search:
-    def __init__(self, broadcast, threshold: float, id_column: str, kind: str):
+    def __init__(self, broadcast, threshold: float, id_column: str):
         self.broadcast, self.threshold, self.id_column = broadcast, threshold, id_column
-        self.kind = kind
 
     def __call__(self, batch: pa.RecordBatch) -> dict:
         block = self.broadcast.value
@@ -155,33 +154,29 @@ def find_items(
     for block in blocks(items):
         held = spark.sparkContext.broadcast(block)
         found = found.unionByName(
-            map_batches(narrow, _Search(held, threshold, id_column, kind), schema)
+            map_batches(narrow, _Search(held, threshold, id_column), schema)
         )
     return found
 
 
 class _Clean:
-    """Keeps the rows in which no item of the block is found."""
+    """Which rows of a batch hold no item of the block."""
 
-    def __init__(self, search: _Search, names: tuple[str, ...]):
-        self.search, self.names = search, names
+    def __init__(self, search: _Search):
+        self.search = search
 
-    def __call__(self, batch: pa.RecordBatch) -> dict:
-        numbered = pa.RecordBatch.from_arrays(
-            [pa.array(range(batch.num_rows), pa.int64()), batch.column("text")], ["row", "text"]
-        )
+    def __call__(self, batch: pa.RecordBatch) -> list[bool]:
+        rows = pa.array(range(batch.num_rows), pa.int64())
+        numbered = pa.RecordBatch.from_arrays([rows, batch.column("text")], ["row", "text"])
         hit = set(self.search(numbered)["row"].to_pylist())
-        kept = batch.filter(pa.array([i not in hit for i in range(batch.num_rows)], pa.bool_()))
-        return {name: kept.column(name) for name in self.names}
+        return [i not in hit for i in range(batch.num_rows)]
 
 
 def remove_contaminated(
     spark: SparkSession, docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 ) -> DataFrame:
     """The rows of ``docs`` that hold no item; all columns unchanged, no join."""
-    kind = ", ".join(f"`{name}` {dtype}" for name, dtype in docs.dtypes)
     for block in blocks(items):
         held = spark.sparkContext.broadcast(block)
-        search = _Search(held, threshold, "row", "long")
-        docs = map_batches(docs, _Clean(search, tuple(docs.columns)), kind)
+        docs = filter_batches(docs, _Clean(_Search(held, threshold, "row")))
     return docs

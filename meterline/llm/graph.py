@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import SALTS, salt_of
-from meterline.sources.staging import stage
+from meterline.llm.common import SALTS, salt_of, settle
 
 
 def salted_lookup(
@@ -43,11 +42,11 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     number of rounds follows the logarithm of the longest path. Labels are written each round.
     """
     pairs = edges.select("a", "b").where("a != b")
-    both = stage(
+    both = settle(
         pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
         f"{name}-edges",
     )
-    labels = stage(
+    labels = settle(
         both.groupBy("a")
         .agg(F.min("b").alias("least"))
         .select(F.col("a").alias("node"), F.least("a", "least").alias("component")),
@@ -60,7 +59,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             "node", F.col("component").alias("old"), F.least("component", "near").alias("next")
         )
         jump = labels.select(F.col("node").alias("next"), F.col("component").alias("jumped"))
-        moved = stage(
+        moved = settle(
             salted_lookup(nearer, jump, "next", "node").select(
                 "node", "old", F.least("next", "jumped").alias("component")
             ),

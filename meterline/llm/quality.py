@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import map_batches, utf8
+from meterline.llm.common import filter_batches, map_batches, utf8
 
 SPACES = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
@@ -124,30 +124,29 @@ def judge(data: bytes, packer: zstandard.ZstdCompressor, rules: Rules = DEFAULT)
 
 
 class _Judge:
-    def __init__(self, rules: Rules, passed: tuple[str, ...], only_kept: bool):
-        self.rules, self.passed, self.only_kept = rules, passed, only_kept
+    def __init__(self, rules: Rules, id_column: str):
+        self.rules, self.id_column = rules, id_column
 
-    def __call__(self, batch: pa.RecordBatch) -> dict:
+    def rows(self, batch: pa.RecordBatch) -> list[tuple]:
         packer = zstandard.ZstdCompressor(level=self.rules.level)
-        rows = [judge(data, packer, self.rules) for data in utf8(batch, "text")]
-        if self.only_kept:
-            kept = batch.filter(pa.array([r[-1] for r in rows], pa.bool_()))
-            return {name: kept.column(name) for name in self.passed}
+        return [judge(data, packer, self.rules) for data in utf8(batch, "text")]
+
+    def __call__(self, batch: pa.RecordBatch) -> dict:
         names = [part.split()[0] for part in SCHEMA.split(", ")]
-        out = dict(zip(names, map(list, zip(*rows, strict=True)), strict=True))
-        return out | {name: batch.column(name) for name in self.passed}
+        out = dict(zip(names, map(list, zip(*self.rows(batch), strict=True)), strict=True))
+        return out | {self.id_column: batch.column(self.id_column)}
+
+    def kept(self, batch: pa.RecordBatch) -> list[bool]:
+        return [r[-1] for r in self.rows(batch)]
 
 
 def measure(docs: DataFrame, rules: Rules = DEFAULT, id_column: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: its id, counts, ratios and verdict."""
     kind = dict(docs.dtypes)[id_column]
     narrow = docs.select(id_column, F.col("text").cast("string").alias("text"))
-    return map_batches(
-        narrow, _Judge(rules, (id_column,), False), f"{id_column} {kind}, {SCHEMA}"
-    )
+    return map_batches(narrow, _Judge(rules, id_column), f"{id_column} {kind}, {SCHEMA}")
 
 
 def keep_good(docs: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns unchanged."""
-    kind = ", ".join(f"`{name}` {dtype}" for name, dtype in docs.dtypes)
-    return map_batches(docs, _Judge(rules, tuple(docs.columns), True), kind)
+    return filter_batches(docs, _Judge(rules, "doc_id").kept)

@@ -137,7 +137,7 @@ def mine(sampled: DataFrame, limit: int = LEXICON) -> Lexicon:
     """The words and beginnings that speak most for a toxic text, by log-odds."""
     rows = map_batches(sampled, _WordCounts(), "word string, toxic long, clean long")
     toxic, clean = F.col("toxic"), F.col("clean")
-    size = sampled.agg(F.sum("toxic"), F.sum(1 - toxic)).head()
+    size = [n or 0 for n in sampled.agg(F.sum("toxic"), F.sum(1 - toxic)).head()]
     odds = F.log((toxic + 0.5) / (size[0] + 1)) - F.log((clean + 0.5) / (size[1] + 1))
     best = (
         rows.groupBy("word")

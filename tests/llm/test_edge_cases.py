@@ -19,7 +19,10 @@ from meterline.llm.queries import PIECES, WORD_BPE
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"w{i % 997}x{i}" for i in range(30_000))
-PROSE = "the river runs slowly past the old mill and children play on its banks in summer"
+PROSE = (
+    "the river runs slowly past the old mill and children play on its banks in summer while "
+    "their parents talk about work and rain"
+)
 ROWS = [
     (1, PROSE, "en", "a", 80),
     (1, PROSE, "en", "a", 80),
