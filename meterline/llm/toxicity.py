@@ -37,7 +37,9 @@ SAMPLE = 3000
 #: Mined words and beginnings at most, the strongest first.
 LEXICON = 2000
 MINED_VOTERS = 8
-BEGINNINGS = (4, 5)
+#: Share of the toxic sample that a mined word stands in at least.
+LEAST_SHARE = 0.02
+BEGINNINGS = (4, 5, 6, 7)
 
 # Small lexicons by kind, and patterns.
 LEXICONS = {
@@ -142,9 +144,10 @@ def mine(sampled: DataFrame, limit: int = LEXICON) -> Lexicon:
     best = (
         rows.groupBy("word")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where(toxic >= 4)
+        # rarer ones are chance finds
+        .where(toxic >= max(4.0, LEAST_SHARE * size[0]))
         .withColumn("odds", odds)
-        .where("odds >= 2.5")
+        .where("odds >= 3")
         .withColumn("weight", F.round(F.col("odds") * F.sqrt(toxic), 6))
         .orderBy(F.desc("weight"), "word")
         .limit(limit)  # a top-k report: the lexicon's documented size
@@ -202,10 +205,12 @@ class LabelModel:
     weight: np.ndarray
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        """Probability of a toxic text for each row of 0/1 votes."""
-        yes = np.log(self.in_toxic / self.in_clean)
-        no = np.log((1 - self.in_toxic) / (1 - self.in_clean))
-        odds = np.log(self.prior / (1 - self.prior)) + (votes * yes + (1 - votes) * no) @ self.weight
+        """Probability of a toxic text for each row of 0/1 votes.
+
+        A voter that doesn't vote abstains: a lexicon of one language says nothing about another.
+        """
+        yes = np.log(self.in_toxic / self.in_clean) * self.weight
+        odds = np.log(self.prior / (1 - self.prior)) + votes @ yes
         return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
 
 
