@@ -2,7 +2,7 @@
 
 Voters look at a text and vote or abstain: short lexicons and patterns written down here, and lexicons
 mined from a bounded sample of labelled rows (words and word beginnings that are much commoner in
-toxic rows, dealt to ``MINED_VOTERS`` voters by their first letters). The label model takes each voter as a
+toxic rows, dealt to ``MINED_VOTERS`` voters by their first letters, sure words apart from others). The label model takes each voter as a
 noisy view of one hidden label. From how often voters agree over all documents it estimates their rates
 in toxic and in clean texts (a rank-one fit of the covariances off the diagonal), and their correlations (what the
 fit leaves); correlated voters share their weight. Its posterior labels, not the given ones, train a
@@ -38,7 +38,7 @@ SAMPLE = 3000
 LEXICON = 2000
 MINED_VOTERS = 8
 #: Share of the toxic sample that a mined word stands in at least.
-LEAST_SHARE = 0.02
+LEAST_SHARE = 0.01
 BEGINNINGS = (4, 5, 6, 7)
 
 # Small lexicons by kind, and patterns.
@@ -75,21 +75,26 @@ def evidence(text: str) -> tuple[set[str], str]:
     return out, low
 
 
-def mined_voter(word: str) -> int:
-    return zlib.crc32(word[: min(BEGINNINGS)].rstrip("-").encode()) % MINED_VOTERS
+def mined_voter(word: str, strong: bool) -> int:
+    """Words with one beginning share a voter; sure words and doubtful ones have voters apart."""
+    half = MINED_VOTERS // 2
+    return (0 if strong else half) + zlib.crc32(word[: min(BEGINNINGS)].encode()) % half
 
 
 @dataclass
 class Lexicon:
-    """Mined words by number."""
+    """Mined words by number; ``strong`` ones hardly stand in clean texts."""
 
     words: list[str]
+    strong: list[bool]
     number: dict[str, int] = field(init=False)
     voters: list[int] = field(init=False)
 
     def __post_init__(self):
         self.number = {w: i for i, w in enumerate(self.words)}
-        self.voters = [len(FIXED) + mined_voter(w) for w in self.words]
+        self.voters = [
+            len(FIXED) + mined_voter(w, s) for w, s in zip(self.words, self.strong, strict=True)
+        ]
 
     def look(self, text: str) -> tuple[list[int], list[int]]:
         """(numbers of the mined words present, voters that vote)."""
@@ -152,7 +157,9 @@ def mine(sampled: DataFrame, limit: int = LEXICON) -> Lexicon:
         .orderBy(F.desc("weight"), "word")
         .limit(limit)  # a top-k report: the lexicon's documented size
     )
-    return Lexicon([r["word"] for r in best.collect()])
+    found = best.collect()
+    # at most one clean row in twenty
+    return Lexicon([r["word"] for r in found], [20 * r["clean"] <= r["toxic"] for r in found])
 
 
 class _Look:
