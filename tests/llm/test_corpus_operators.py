@@ -145,6 +145,31 @@ def test_unlike_texts_of_one_bucket_hide_no_pair(spark):
     assert all(got[2 * k] == got[2 * k + 1] == 2 * k for k in range(30))
 
 
+def test_edited_copies_meet_their_original(spark):
+    """One original and 200 copies, each 0.8 to 0.85 like it and below 0.8 to the others."""
+    rng = random.Random(5)
+    vocabulary = pool(rng)
+    base = [rng.choice(vocabulary) for _ in range(300)]
+    rows = [(0, " ".join(base))]
+    while len(rows) <= 200:
+        copy = list(base)
+        for at in rng.sample(range(5, 295), rng.choice([5, 6])):
+            copy[at] = rng.choice(vocabulary)
+        rows.append((len(rows), " ".join(copy)))
+    sequences = {k: near_dedup.sequence(t) for k, t in rows}
+    ids = sorted(sequences)
+    pairs = [
+        (a, b)
+        for a in ids
+        for b in ids
+        if a < b and near_dedup.alignment(sequences[a], sequences[b]) >= near_dedup.THRESHOLD
+    ]
+    assert len(pairs) < 4 * len(ids)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(docs).collect()}
+    assert got == components_of(pairs, ids)
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 300)]
