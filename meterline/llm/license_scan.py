@@ -65,7 +65,8 @@ MORE = (
         "mit-grant",
         "mit",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        "software and associated documentation files, to deal in the Software without restriction",
+        "software and associated documentation files (the \"Software\"), to deal in the Software "
+        "without restriction",
         ("permission is hereby granted", "without restriction"),
     ),
     Template(

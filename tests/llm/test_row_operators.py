@@ -106,6 +106,42 @@ def test_licence_corners(spark):
     assert got[4]["labels"] == "" and got[5]["labels"] == ""
 
 
+# The sentences as their licences are published, with the line breaks and signs of the originals.
+PUBLISHED = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above""",
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:""",
+    "apache-2": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.""",
+    "gpl": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or""",
+    "lgpl": """    This library is free software; you can redistribute it and/or
+    modify it under the terms of the GNU Lesser General Public
+    License as published by the Free Software Foundation; either""",
+    "mpl-2": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this""",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "cc-by": "Creative Commons Attribution 4.0 International Public License",
+    "cc0": "CC0 1.0 Universal",
+}
+
+
+def test_published_licences(spark):
+    docs = spark.createDataFrame(
+        [(k, "/*\n * " + t.replace("\n", "\n * ") + "\n */\nint main() {}") for k, t in PUBLISHED.items()],
+        "doc_id string, text string",
+    )
+    got = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
+    assert {k: r["labels"] for k, r in got.items()} == {k: k for k in PUBLISHED}
+    assert all(r["score"] == 1.0 for r in got.values())
+
+
 def test_token_counts_equal_the_library(texts):
     library, counter = token_counts.reference_tokenizer(queries.PIECES), token_counts.Counter(queries.PIECES)
     rng = random.Random(5)
