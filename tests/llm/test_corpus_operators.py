@@ -254,6 +254,41 @@ def test_lines(spark):
     assert out[None]["text"] == text[None].split("\n")[1]
 
 
+def candidate_nodes(spark, lines):
+    """Nodes of ``lines`` as the operator has them, and the node of each line."""
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id long, text string")
+    found = line_dedup.lines_of(docs).localCheckpoint()
+    return found.select("node", "simhash", "bands").dropDuplicates(["node"]), {
+        r["doc_id"]: r["node"] for r in found.select("doc_id", "node").collect()
+    }
+
+
+def recall_of_pairs(spark, lines):
+    """The share of pairs (2 k, 2 k + 1) within ``BITS_APART`` that are candidates."""
+    nodes, node = candidate_nodes(spark, lines)
+    bits = {r["node"]: r["simhash"] & (2**64 - 1) for r in nodes.select("node", "simhash").collect()}
+    got = {frozenset(r) for r in line_dedup.candidates(nodes).collect()}
+    near = [
+        frozenset((node[i], node[i + 1]))
+        for i in range(0, len(lines), 2)
+        if (bits[node[i]] ^ bits[node[i + 1]]).bit_count() <= line_dedup.BITS_APART
+    ]
+    assert len(near) > 0.8 * len(lines) / 2
+    return sum(pair in got for pair in near) / len(near)
+
+
+@pytest.mark.parametrize(("length", "least"), [(10, 0.95), (20, 0.97), (50, 0.99)])
+def test_lines_one_word_apart_are_candidates(spark, length, least):
+    rng = random.Random(length)
+    vocabulary, lines = pool(rng), []
+    for _ in range(300):
+        line = [rng.choice(vocabulary) for _ in range(length)]
+        other = list(line)
+        other[rng.randrange(length)] = rng.choice(vocabulary)
+        lines += [" ".join(line), " ".join(other)]
+    assert recall_of_pairs(spark, lines) >= least
+
+
 def test_lines_against_all_pairs(spark, sf_dir):
     """Exact groups are complete, no unlike line goes, most fuzzy pairs of brute force are found."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
