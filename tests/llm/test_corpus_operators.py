@@ -289,6 +289,19 @@ def test_lines_one_word_apart_are_candidates(spark, length, least):
     assert recall_of_pairs(spark, lines) >= least
 
 
+def test_large_buckets_hide_no_line(spark):
+    """Lines of one template share most words; pairs of them differ in one word."""
+    rng = random.Random(9)
+    vocabulary, lines = pool(rng), []
+    shared = [rng.choice(vocabulary) for _ in range(48)]
+    for _ in range(1500):
+        line = shared + [rng.choice(vocabulary) for _ in range(12)]
+        other = list(line)
+        other[rng.randrange(60)] = rng.choice(vocabulary)
+        lines += [" ".join(line), " ".join(other)]
+    assert recall_of_pairs(spark, lines) >= 0.95
+
+
 def test_lines_against_all_pairs(spark, sf_dir):
     """Exact groups are complete, no unlike line goes, most fuzzy pairs of brute force are found."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
