@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterline.llm import (
     decontaminate,
+    hard_negatives,
     language,
     license_scan,
     line_dedup,
     near_dedup,
     packing,
+    piece_codec,
     quality,
     token_counts,
     toxicity,
     warc,
+    whitening,
 )
 from meterline.llm.common import table
 from meterline.sources.staging import scratch_path, stage
@@ -76,6 +80,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    mined = hard_negatives.mine(table(spark, sf_dir, "embeddings"), label, F.col("id") % 50 == 0)
+    return mined.drop("positive_rank")
+
+
+def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode(table(spark, sf_dir, "documents"), PIECES, with_ids=False)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whitened_table(table(spark, sf_dir, "embeddings"))
+    # the operator's exact decimal; null where a table is so large that 64 bits cannot hold it
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -87,6 +107,9 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_piece_codec": op12_piece_codec,
+    "op13_whitening": op13_whitening,
 }
 
 #: Base32 takes five bits a character: four characters from every five hexadecimal digits.
@@ -108,5 +131,28 @@ SELECT page_id,
   CASE WHEN top IS NULL OR page_id = top THEN NULL ELSE top END AS refers_to,
   true AS intact
 FROM named
+""",
+    "op11_hard_negatives": """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(c AS DOUBLE)) FOR c IN embedding] AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+    CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), negatives AS (
+  SELECT p.*, s.other_id AS negative_id, s.score AS negative_score, CAST(row_number() OVER (
+    PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.alike
+    AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 3
 """,
 }

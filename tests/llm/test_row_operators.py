@@ -9,9 +9,18 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import sentencepiece
 from tokenizers import Tokenizer
 
-from meterline.llm import license_scan, packing, quality, queries, token_counts, warc
+from meterline.llm import (
+    license_scan,
+    packing,
+    piece_codec,
+    quality,
+    queries,
+    token_counts,
+    warc,
+)
 from meterline.llm.common import table
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -255,3 +264,76 @@ def test_reader_skips_broken_members(spark, tmp_path):
     for split in (50, 1 << 20):
         got = warc.page_records(warc.read_archives(files, split)).collect()
         assert sorted(r["page_id"] for r in got) == [0, 1, 3]
+
+
+def own_and_library():
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
+    return piece_codec.codec(queries.PIECES), library
+
+
+def test_pieces_equal_the_library(texts):
+    own, library = own_and_library()
+    for text in texts.values():
+        ids = library.encode(text)
+        assert own.encode(text) == ids
+        assert own.digest(text) == (len(ids), ",".join(map(str, ids)), library.decode(ids))
+
+
+def test_pieces_of_odd_texts_equal_the_library(monkeypatch):
+    own, library = own_and_library()
+    rng = random.Random(8)
+    odd = ["", " ", "  a  b ", "a▁b", " ▁ ▁▁ x", "\t\n x", "a\0b", "<s> </s> <0x0A>", " " * 37, "e\u0301"]
+    odd += ["a" * 99, "x" + " " * 23 + "y", "日本語テキスト", "😀😀 é", "\n\n   def f():\n\t\treturn"]
+    for alphabet in ("ab  ethn▁\nréß日1", "  tea", "the in", "aA.,-_/\\$"):
+        odd += ["".join(rng.choices(alphabet, k=rng.randint(1, 60))) for _ in range(700)]
+    ranges = ((32, 126), (160, 0x500), (0x4E00, 0x4F00), (0x1F600, 0x1F640))
+    odd += ["".join(chr(rng.randint(*rng.choice(ranges))) for _ in range(40)) for _ in range(700)]
+    for known in (piece_codec.KNOWN, 5):  # forgetting changes nothing
+        monkeypatch.setattr(piece_codec, "KNOWN", known)
+        monkeypatch.setattr(piece_codec, "PAIRS", known)
+        for text in odd:
+            ids = library.encode(text)
+            assert own.digest(text) == (len(ids), ",".join(map(str, ids)), library.decode(ids))
+
+
+def test_any_ids_decode_as_in_the_library():
+    own, library = own_and_library()
+    rng = random.Random(9)
+    for _ in range(4000):
+        kinds = (rng.randint(0, 31999), rng.randint(0, 300), rng.randint(259, 262))
+        ids = [rng.choice(kinds) for _ in range(rng.randint(0, 8))]
+        assert own.decode(ids) == library.decode(ids)
+
+
+def test_prefix_tables_equal_merging():
+    own, _ = own_and_library()
+    rng = random.Random(10)
+    for _ in range(1500):
+        stretch = "▁" + "".join(rng.choices("etainosh▁", k=rng.randint(0, 20)))
+        pieces = [own.vocabulary.pieces[i] for i in own.stretch_ids(stretch)]
+        assert pieces == own.merge(stretch)
+        last = own.last_tokens(stretch)
+        for end in range(1, len(stretch) + 1):  # of every prefix, not only of the whole
+            assert last[end][0] == own.merge(stretch[:end])[-1]
+
+
+def test_codec_operator(spark):
+    rows = [(1, "a  text"), (1, "a  text"), (None, "x"), (2, None), (3, ""), (4, "日本\n" * 9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    odd = df.selectExpr("*", "1 AS ids", "2 AS _id", "3 AS _text", "4 AS decoded", "5 AS `a.b`")
+    _, library = own_and_library()
+    got = piece_codec.encode(odd, queries.PIECES)
+    for r in got.collect():
+        text = dict(rows)[r.doc_id] or ""
+        ids = library.encode(text)
+        assert (r.n_tokens, r.ids, r.decoded) == (len(ids), ids, library.decode(ids))
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(r.decoded.encode()).hexdigest()
+    assert got.count() == 6
+    back = piece_codec.decode(got.drop("decoded"), queries.PIECES)
+    assert sorted(map(repr, back.collect())) == sorted(
+        repr(r) for r in df.fillna("", "text").select("doc_id", "text").collect()
+    )
+    assert piece_codec.encode(odd.limit(0), queries.PIECES).count() == 0
+    none = spark.createDataFrame([(1, None), (2, [None, 264])], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in piece_codec.decode(none, queries.PIECES).collect()} == {1: "", 2: "a"}
