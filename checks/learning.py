@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.fixture import USABLE, sql, table, usable
 from checks.output import plain, sql_round
-from meterline.learn import clusters, evaluation, models, prep, reduction
+from meterline.learn import clusters, evaluation, models, moments, prep, reduction
 from meterline.schemas import numeric_columns
 
 ENTRIES: dict = {}
@@ -45,6 +45,62 @@ def _fit(df, train, **params):
         return train(rows.filter("split = 'train'"), **params)
 
 
+def fare_columns(spark, sf_dir):
+    """The fares' training table and its feature columns."""
+    df = prep.regression_set(_keyed(spark, sf_dir))
+    return df, [c for c in prep.select_numeric(df, "fare_amount") if c not in _NOT_FEATURES]
+
+
+def linear_fit(spark, sf_dir, name, **params):
+    """A fit on the training rows, from moments, and the rows of all splits."""
+    df, columns = fare_columns(spark, sf_dir)
+    parts, filled = moments.complete_moments(
+        prep.assign_split(df, ["split_key"]), columns, "fare_amount"
+    )
+    return moments.SOLVERS[name](parts["train"], columns, **params), filled
+
+
+def linear(name, **params):
+    def query(spark, sf_dir):
+        fit, rows = linear_fit(spark, sf_dir, name, **params)
+        tested = rows.filter("split = 'test'").withColumn("label", F.col("fare_amount").cast("double"))
+        return plain(evaluation.compare_regressors(models.predict(fit.scorer(), tested, name)))
+
+    return query
+
+
+def optimality(name, **params):
+    """Per feature, how far the fit is from its optimum, in units of the feature and the target.
+
+    The slope of the squared error must equal the penalty's where a weight is not 0, and may not exceed
+    it elsewhere.
+    """
+
+    def query(spark, sf_dir):
+        fit, rows = linear_fit(spark, sf_dir, name, **params)
+        scored = fit.scorer().transform(rows.filter("split = 'train'"))
+        left = F.col("fare_amount") - F.col("prediction")
+        row = scored.agg(
+            F.count("*").alias("n"),
+            F.stddev_pop("fare_amount").alias("sy"),
+            *[F.covar_pop(c, left).alias(f"g{i}") for i, c in enumerate(fit.columns)],
+            *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(fit.columns)],
+        ).first()
+        found, alpha = [], params.get("alpha", 0.0)
+        for i, c in enumerate(fit.columns):
+            g, w = row[f"g{i}"], float(fit.weights[i])
+            if name == "Ridge":
+                gap = abs(g - alpha * w / row["n"])
+            elif w:
+                gap = abs(abs(g) - alpha) if name == "Lasso" else abs(g)
+            else:
+                gap = max(abs(g) - alpha, 0.0)
+            found.append((c, gap / (row[f"s{i}"] * row["sy"])))
+        return plain(spark.createDataFrame(found, "feature string, violation double"))
+
+    return query
+
+
 def regression(name, **params):
     def query(spark, sf_dir):
         df, _ = fares(spark, sf_dir)
@@ -65,9 +121,20 @@ def classification(name, **params):
     return query
 
 
-ENTRIES["R1_linear"] = (regression("LinearRegression"), None)
-ENTRIES["R2_ridge"] = (regression("Ridge", alpha=1.0), None)
-ENTRIES["R3_lasso"] = (regression("Lasso", alpha=1.0), None)
+ENTRIES["R1_linear"] = (linear("LinearRegression"), None)
+ENTRIES["R2_ridge"] = (linear("Ridge", alpha=1.0), None)
+ENTRIES["R3_lasso"] = (linear("Lasso", alpha=1.0), None)
+_FARE_FEATURES = (
+    "vendor_id passenger_count trip_distance rate_code pickup_location_id dropoff_location_id payment_type"
+    " extra pickup_latitude pickup_longitude dropoff_latitude dropoff_longitude trip_duration"
+    " trip_duration_minutes speed_mph hour_of_day day_of_week month"
+).split()
+_AT_OPTIMUM = (
+    f"SELECT unnest({_FARE_FEATURES}) AS feature, 0.0::DOUBLE AS violation FROM (SELECT 1) WHERE EXISTS (FROM lineitem)"
+)
+ENTRIES["R1_linear_optimality"] = (optimality("LinearRegression"), _AT_OPTIMUM)
+ENTRIES["R2_ridge_optimality"] = (optimality("Ridge", alpha=1.0), _AT_OPTIMUM)
+ENTRIES["R3_lasso_optimality"] = (optimality("Lasso", alpha=0.01), _AT_OPTIMUM)
 ENTRIES["R4_rf_regressor"] = (regression("RandomForestRegressor", n_estimators=100, max_depth=10), None)
 ENTRIES["R5_gbt_regressor"] = (
     regression("GBTRegressor", n_estimators=100, max_depth=6, validation="validation"),
@@ -352,6 +419,42 @@ def _single_sql(slope: str) -> str:
     )
 
 
+_TWO = (
+    *USABLE,
+    "train AS (SELECT trip_distance AS a, trip_duration_minutes AS b, fare_amount AS y FROM usable WHERE fare_amount > 0 AND store_and_fwd_flag IS NOT NULL"
+    " AND CAST(('0x' || substr(md5(trip_id::VARCHAR || '-42'), 1, 8)) AS BIGINT) % 1000 >= 300)",
+    "m AS (SELECT count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, count(*) * var_pop(a) AS saa, count(*) * var_pop(b) AS sbb,"
+    " count(*) * covar_pop(a, b) AS sab, count(*) * covar_pop(a, y) AS say, count(*) * covar_pop(b, y) AS sby FROM train)",
+)
+
+
+def pair(name, **params):
+    """Fares explained by distance and minutes, fitted on the training rows."""
+
+    def query(spark, sf_dir):
+        df = prep.assign_split(prep.regression_set(_keyed(spark, sf_dir)), ["split_key"])
+        columns = ["trip_distance", "trip_duration_minutes"]
+        parts, _ = moments.complete_moments(df, columns, "fare_amount")
+        fit = moments.SOLVERS[name](parts["train"], columns, **params)
+        return plain(moments.coefficient_table(spark, fit, name).drop("model"))
+
+    return query
+
+
+def _pair_sql(alpha: float) -> str:
+    a, b = f"(saa + {alpha}::DOUBLE)", f"(sbb + {alpha}::DOUBLE)"
+    down = f"({a} * {b} - sab * sab)"
+    wa, wb = f"(({b} * say - sab * sby) / {down})", f"(({a} * sby - sab * say) / {down})"
+    return sql(
+        f"SELECT 'trip_distance' AS term, round({wa}, 6) + 0.0 AS value FROM m"
+        f" UNION ALL SELECT 'trip_duration_minutes', round({wb}, 6) + 0.0 FROM m"
+        f" UNION ALL SELECT '(intercept)', round(my - ma * {wa} - mb * {wb}, 6) + 0.0 FROM m",
+        *_TWO,
+    )
+
+
+ENTRIES["R1_linear_two_features"] = (pair("LinearRegression"), _pair_sql(0.0))
+ENTRIES["R2_ridge_two_features"] = (pair("Ridge", alpha=1e5), _pair_sql(1e5))
 ENTRIES["R1_linear_one_feature"] = (single("LinearRegression"), _single_sql("cxy / vx"))
 ENTRIES["R2_ridge_one_feature"] = (
     single("Ridge", alpha=1e6),

@@ -16,6 +16,7 @@ SECTIONS = (
     "evaluation",
     "learning",
     "tracking",
+    "monitoring",
 )
 
 for _name in SECTIONS:
