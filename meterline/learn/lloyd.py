@@ -1,8 +1,15 @@
 """k-means for many starts and numbers of clusters in the same passes over the rows.
 
-Every pass sends the current centres of all unfinished runs to the tasks; a task adds up sizes, sums
-and costs per centre in numpy and returns one row, whose cells are summed by position. So ten
-restarts, or ten restarts of nine numbers of clusters, cost as many scans as the slowest of them.
+Equal vectors become one weighted row first. Every pass sends the current centres of all unfinished
+runs to the tasks; a task adds up sizes, sums and costs per centre in numpy and returns one row, whose
+cells are summed by position. So ten restarts, or ten restarts of nine numbers of clusters, cost as
+many scans as the slowest of them.
+
+Starts come from all rows, by oversampling: in each of ``ROUNDS`` rounds a vector becomes a candidate with
+a chance that follows its weight and its squared distance to the candidates so far, so a small group
+far from all others is met. Every restart then draws from the candidates, weighted by the rows
+nearest to them. A round draws ``OVERSAMPLE`` candidates per cluster in the mean, whatever the table
+and however often one vector stands in it, and that is all of the rows that the driver sees.
 """
 
 from __future__ import annotations
@@ -15,9 +22,10 @@ import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
-#: Rows, drawn by a hash of their values, on which the first centres are chosen.
-SEED_ROWS = 4_000
+#: Rounds that draw candidates, candidates of a round per cluster, and steps taken on candidates alone.
+ROUNDS, OVERSAMPLE, LOCAL_STEPS = 5, 4, 20
 
 
 @dataclass
@@ -42,43 +50,124 @@ class Centres:
         return df.withColumn("_x", vector_to_array("features")).withColumn("prediction", found).drop("_x")
 
 
-def _first_centres(sample: np.ndarray, k: int, random: np.random.Generator) -> np.ndarray:
-    """k-means++: each centre is drawn with the squared distance to the nearest one so far."""
-    picked = [sample[random.integers(len(sample))]]
-    nearest = ((sample - picked[0]) ** 2).sum(axis=1)
-    for _ in range(1, k):
-        total = nearest.sum()
-        at = random.choice(len(sample), p=nearest / total) if total > 0 else random.integers(len(sample))
-        picked.append(sample[at])
-        nearest = np.minimum(nearest, ((sample - picked[-1]) ** 2).sum(axis=1))
-    return np.array(picked)
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return ((x[:, None] - centres) ** 2).sum(axis=2)
 
 
-def _pass(rows: DataFrame, centres: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
-    """(sizes, sums, cost) of each run's centres."""
-    width = centres[0].shape[1]
+def _start(points: np.ndarray, weights: np.ndarray, k: int, random: np.random.Generator) -> np.ndarray:
+    """k-means++ on weighted candidates, and a few steps on them.
+
+    Each centre is drawn by weight and squared distance to the nearest one so far.
+    """
+    picked = [points[random.choice(len(points), p=weights / weights.sum())]]
+    nearest = _distances(points, np.array(picked))[:, 0]
+    for _ in range(1, k):
+        pull = nearest * weights
+        total = pull.sum()
+        at = random.choice(len(points), p=pull / total) if total > 0 else random.integers(len(points))
+        picked.append(points[at])
+        nearest = np.minimum(nearest, _distances(points, points[at : at + 1])[:, 0])
+    centres = np.array(picked)
+    for _ in range(LOCAL_STEPS):
+        label = _distances(points, centres).argmin(axis=1)
+        for i in range(k):
+            own = label == i
+            if own.any() and weights[own].sum() > 0:
+                centres[i] = np.average(points[own], axis=0, weights=weights[own])
+    return centres[np.lexsort(centres.T)]
+
+
+def _summed(rows: DataFrame, cells_of, size: int, width: int) -> np.ndarray:
+    """``cells_of(x, weight)`` of all batches, summed by position; the driver gets ``size`` numbers."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            square, cells = (x * x).sum(axis=1), []
-            for c in centres:
-                distance = square[:, None] - 2 * (x @ c.T) + (c * c).sum(axis=1)
-                label = distance.argmin(axis=1)
-                cost = np.maximum(distance[np.arange(len(x)), label], 0).sum()
-                sums = [np.bincount(label, x[:, j], len(c)) for j in range(width)]
-                cells += [np.bincount(label, minlength=len(c)), *sums, [cost]]
-            flat = np.concatenate(cells).astype(float)
-            total = flat if total is None else total + flat
+            if batch.num_rows:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                flat = cells_of(x, batch.column(1).to_numpy(zero_copy_only=False).astype(float))
+                total = flat if total is None else total + flat
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["cells"])
 
     cells = rows.mapInArrow(partial, "cells array<double>").select(F.posexplode("cells").alias("at", "v"))
-    summed = cells.groupBy("at").agg(F.sum("v").alias("v")).collect()  # centres x (width + 1) + runs
-    flat = np.zeros(sum(len(c) * (width + 1) + 1 for c in centres))
-    for r in summed:
-        flat[r["at"]] = r["v"]
+    flat = np.zeros(size)
+    for at, value in cells.groupBy("at").agg(F.sum("v").alias("v")).collect():
+        flat[at] = value
+    return flat
+
+
+def _drawn(rows: DataFrame, centres: np.ndarray, share: float, number: int, seed: int) -> np.ndarray:
+    """Rows that fall below ``share`` x weight x squared distance to the centres, by a hash of the row."""
+    width = centres.shape[1]
+    draw = F.pmod(F.xxhash64("x", F.lit(seed), F.lit(number)), F.lit(1 << 52)) / float(1 << 52)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                near = np.full(len(x), np.inf)
+                for c in centres:
+                    near = np.minimum(near, ((x - c) ** 2).sum(axis=1))
+                weight = batch.column(1).to_numpy(zero_copy_only=False)
+                kept = batch.column(2).to_numpy(zero_copy_only=False) < share * weight * near
+                yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(kept))], ["x"])
+
+    found = rows.withColumn("u", draw).mapInArrow(chosen, "x array<double>").collect()
+    return np.array([r["x"] for r in found]).reshape(-1, width)
+
+
+def candidates(rows: DataFrame, most: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starting points drawn from all rows, and the rows nearest to each; ``most`` clusters at most."""
+    first = rows.orderBy(F.xxhash64("x", F.lit(seed)), "x").select("x").first()
+    points = np.array([first["x"]])
+    width = points.shape[1]
+
+    def cost_to(centres):
+        def cells(x, weight):
+            near = np.full(len(x), np.inf)
+            for c in centres:
+                near = np.minimum(near, ((x - c) ** 2).sum(axis=1))
+            return np.array([(near * weight).sum()])
+
+        return cells
+
+    for number in range(ROUNDS):
+        cost = _summed(rows, cost_to(points), 1, width)[0]
+        if cost <= 0:
+            break
+        found = _drawn(rows, points, OVERSAMPLE * most / cost, number, seed)
+        points = np.unique(np.vstack([points, found]), axis=0)
+    if len(points) < most:  # few distinct rows: all of them are candidates
+        some = rows.orderBy(F.xxhash64("x", F.lit(seed)), "x").select("x").limit(OVERSAMPLE * most)
+        points = np.unique(np.vstack([points, [r["x"] for r in some.collect()]]), axis=0)
+
+    def nearest_of(x, weight):
+        best, label = np.full(len(x), np.inf), np.zeros(len(x), int)
+        for i, c in enumerate(points):
+            distance = ((x - c) ** 2).sum(axis=1)
+            label[distance < best] = i
+            best = np.minimum(best, distance)
+        return np.bincount(label, weight, len(points))
+
+    return points, _summed(rows, nearest_of, len(points), width)
+
+
+def _pass(rows: DataFrame, centres: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """(sizes, sums, cost) of each run's centres."""
+    width = centres[0].shape[1]
+
+    def cells_of(x, weight):
+        square, cells = (x * x).sum(axis=1), []
+        for c in centres:
+            distance = square[:, None] - 2 * (x @ c.T) + (c * c).sum(axis=1)
+            label = distance.argmin(axis=1)
+            near = np.maximum(distance[np.arange(len(x)), label], 0)
+            sums = [np.bincount(label, x[:, j] * weight, len(c)) for j in range(width)]
+            cells += [np.bincount(label, weight, len(c)), *sums, [(near * weight).sum()]]
+        return np.concatenate(cells).astype(float)
+
+    flat = _summed(rows, cells_of, sum(len(c) * (width + 1) + 1 for c in centres), width)
     out, at = [], 0
     for c in centres:
         k = len(c)
@@ -88,6 +177,12 @@ def _pass(rows: DataFrame, centres: list[np.ndarray]) -> list[tuple[np.ndarray,
     return out
 
 
+def weighted(df: DataFrame) -> DataFrame:
+    """(x, w): the distinct feature vectors and how often each stands in the table."""
+    rows = df.select(vector_to_array("features").alias("x"))
+    return rows.groupBy("x").agg(F.count("*").alias("w"))
+
+
 def fit_many(
     df: DataFrame,
     ks: Sequence[int],
@@ -96,32 +191,34 @@ def fit_many(
     tolerance: float = 0.01,
     seed: int = 42,
 ) -> dict[int, Centres]:
-    """The best of ``restarts`` starts for each k; ``df`` has ``features`` and should be held.
+    """The best of ``restarts`` starts for each k; ``df`` has ``features``.
 
-    A run ends once all its centres together moved less than ``tolerance``.
+    A run ends once all its centres together moved less than ``tolerance``; equal starts run once.
     """
-    rows = df.select(vector_to_array("features").alias("x"))
-    count = rows.count()
-    if not count:
-        raise ValueError("there are no rows to cluster")
-    draw = F.pmod(F.xxhash64("x"), F.lit(1 << 30)) < int(min(1.0, SEED_ROWS / count) * (1 << 30))
-    sample = np.array([r["x"] for r in rows.where(draw).collect()] or [rows.first()["x"]])
-    sample = sample[np.lexsort(sample.T)]
-    runs = {}
-    for k in ks:
-        for r in range(restarts):
-            runs[k, r] = _first_centres(sample, k, np.random.default_rng([seed, k, r]))
-    done: dict[tuple[int, int], Centres] = {}
-    for number in range(1, max_iter + 1):
-        names = list(runs)
-        for name, (sizes, sums, cost) in zip(names, _pass(rows, [runs[n] for n in names]), strict=True):
-            old = runs[name]
-            new = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], old)
-            if np.sqrt(((new - old) ** 2).sum()) < tolerance or number == max_iter:
-                done[name] = Centres(old, cost, number)
-                del runs[name]
-            else:
-                runs[name] = new
-        if not runs:
-            break
-    return {k: min((done[k, r] for r in range(restarts)), key=lambda c: c.cost) for k in ks}
+    rows = weighted(df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if rows.isEmpty():
+            raise ValueError("there are no rows to cluster")
+        points, weights = candidates(rows, max(ks), seed)
+        runs: dict[tuple[int, bytes], np.ndarray] = {}
+        for k in ks:
+            for r in range(restarts):
+                start = _start(points, weights, k, np.random.default_rng([seed, k, r]))
+                runs[k, start.tobytes()] = start
+        done: list[tuple[int, Centres]] = []
+        for number in range(1, max_iter + 1):
+            names = list(runs)
+            moved = _pass(rows, [runs[n] for n in names])
+            for name, (sizes, sums, cost) in zip(names, moved, strict=True):
+                old = runs[name]
+                new = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], old)
+                if np.sqrt(((new - old) ** 2).sum()) < tolerance or number == max_iter:
+                    done.append((name[0], Centres(old, cost, number)))
+                    del runs[name]
+                else:
+                    runs[name] = new
+            if not runs:
+                break
+        return {k: min((c for n, c in done if n == k), key=lambda c: c.cost) for k in ks}
+    finally:
+        rows.unpersist()

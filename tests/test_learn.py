@@ -157,3 +157,31 @@ def test_kmeans_restarts_share_their_passes(spark):
     assert placed == sorted(nearest.argmin(axis=1).tolist())
     for i in range(5):
         assert found[5].points[i] == pytest.approx(points[nearest.argmin(axis=1) == i].mean(axis=0), abs=0.01)
+
+
+def test_far_groups_get_clusters_of_their_own(spark):
+    """Groups of three rows far away, in a table of which a third is one vector."""
+    rng = np.random.default_rng(7)
+    far = np.array([[400.0, 0.0], [0.0, -500.0], [-450.0, 450.0]])
+    crowd = spark.range(90_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0.25)).otherwise(F.rand(1)).alias("a"),
+        F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise(F.rand(2)).alias("b"),
+    )
+    points = [tuple(map(float, f + d)) for f in far for d in rng.normal(0, 0.1, size=(3, 2))]
+    df = crowd.unionByName(spark.createDataFrame(points, "a double, b double"))
+    df = prep.assemble(df, ["a", "b"]).select("features")
+    found = lloyd.fit_many(df, [4], restarts=3)[4]
+    gaps = np.sqrt(((far[:, None] - found.points) ** 2).sum(axis=2)).min(axis=1)
+    assert gaps.max() < 1.0
+    drawn, weights = lloyd.candidates(lloyd.weighted(df).cache(), 4, 42)
+    assert len(drawn) < 3 * lloyd.ROUNDS * lloyd.OVERSAMPLE * 4
+    assert weights.sum() == 90_009
+
+
+def test_kmeans_of_few_distinct_rows(spark):
+    df = prep.assemble(spark.createDataFrame([(1.0,), (1.0,), (5.0,)], "a double"), ["a"])
+    found = lloyd.fit_many(df, [2, 3], restarts=2)
+    assert sorted(found[2].points.ravel()) == [1.0, 5.0] and found[2].cost == 0
+    assert set(found[3].points.ravel()) == {1.0, 5.0}
+    with pytest.raises(ValueError, match="no rows"):
+        lloyd.fit_many(df.limit(0), [2])
