@@ -21,7 +21,7 @@ from checks.pieces import PREPARED_COLUMNS, PREPARED_NUMERIC, describe, null_cou
 from meterline import schemas
 from meterline.operators.sampling import sample_n
 from meterline.operators.views import payment_distribution
-from meterline.sources import files, raw, tables
+from meterline.sources import files, footers, raw, tables
 from meterline.sources.staging import scratch_path
 
 ENTRIES: dict = {}
@@ -43,7 +43,7 @@ def _monthly(spark, sf_dir):
 def month_paths(spark, sf_dir):
     paths = _monthly(spark, sf_dir)
     rows = spark.read.schema(schemas.struct(("trip_id", schemas.LONG))).parquet(*paths)
-    return rows.select(files._file_name().alias("file_name"), "trip_id").groupBy("file_name").agg(
+    return rows.select(footers.file_name(F.col("_metadata.file_path")).alias("file_name"), "trip_id").groupBy("file_name").agg(
         F.count("*").alias("total_rows")
     )
 

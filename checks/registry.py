@@ -17,6 +17,7 @@ SECTIONS = (
     "learning",
     "tracking",
     "monitoring",
+    "properties",
 )
 
 for _name in SECTIONS:

@@ -11,12 +11,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.learn import clusters, evaluation, models, prep, reduction
-from meterline.tracking.runs import log_run
+from meterline.learn import clusters, evaluation, models, moments, prep, reduction
+from meterline.learn.stages import scaled_pipeline
+from meterline.tracking.runs import log_run, training_report
 from meterline.tracking.scoring import save_model
 
 log = logging.getLogger(__name__)
 
+SPLIT_KEY = "split_key"
+STOPPED_BY_VALIDATION = ("GBTRegressor", "GBTClassifier")
+
 
 @dataclass(frozen=True)
 class Target:
@@ -28,12 +32,10 @@ class Target:
     runs_path: str | None = None
 
 
-def _record(spark, where: Target, family: str, name: str, started, metrics, params, model=None):
+def _record(spark, where: Target, family: str, name: str, started, metrics, params, model):
     run_id = uuid.uuid4().hex
-    path = None
-    if model is not None:
-        path = f"{where.model_folder.rstrip('/')}/{run_id}"
-        save_model(model, path)
+    path = f"{where.model_folder.rstrip('/')}/{run_id}"
+    save_model(model, path)
     log_run(
         spark,
         where.runs_table,
@@ -63,88 +65,132 @@ def train_family(
     """Train the models of a supervised family on (df, target).
 
     Returns the run ids and the models that failed with the reason; one failure does not stop
-    the others. Medians come from the training rows.
+    the others. Medians come from the training rows. The linear regressors share one pass of moments;
+    boosted trees stop by the validation rows. Runs record test metrics and, as ``val_*``, those of the
+    validation rows.
     """
     known = models.REGRESSORS if family == "regression" else models.CLASSIFIERS
+    metrics_of = evaluation.regression_metrics if family == "regression" else evaluation.binary_metrics
     columns = prep.select_numeric(df, target, [c for c in df.columns if c not in (key, target)])
     parted = prep.assign_split(df, [key])
-    gaps = prep.incomplete(parted, columns)
-    medians = prep.fit_medians(parted.filter("split = 'train'"), gaps)
-    ready = prep.fill_medians(parted, medians).withColumn("label", F.col(target).cast("double"))
-    ready = prep.assemble(ready, columns).select("label", "features", "split")
+    parts, filled = moments.complete_moments(parted, columns, target)
+    ready = prep.assemble(filled.withColumn("label", F.col(target).cast("double")), columns)
+    ready = ready.select("label", "features", "split", *columns)
     runs, failed = [], {}
     with prep.held(ready) as rows:
-        train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
+        seen = rows.filter("split <> 'test'").withColumn("validation", F.col("split") == "val")
         for name, params in (trainers or dict.fromkeys(known, {})).items():
             started = dt.datetime.now()
             try:
-                fitted = models.Trained(name, family, known[name](train, **params), columns)
-                tested = models.predict(fitted.model, test, name)
-                if family == "regression":
-                    metrics = evaluation.regression_metrics(tested).first().asDict()
+                if family == "regression" and name in moments.SOLVERS:
+                    fit = moments.SOLVERS[name](parts["train"], columns, **params)
+                    model, pipeline = fit.scorer(), fit.pipeline()
                 else:
-                    metrics = evaluation.binary_metrics(tested).first().asDict()
-                runs.append(
-                    _record(spark, where, family, name, started, metrics, params, fitted.pipeline())
-                )
+                    stops = name in STOPPED_BY_VALIDATION
+                    train = seen if stops else rows.filter("split = 'train'")
+                    own = {"validation": "validation", **params} if stops else params
+                    fitted = models.Trained(name, family, known[name](train, **own), columns)
+                    model, pipeline = fitted.model, fitted.pipeline()
+                metrics = {}
+                for split, prefix in (("test", ""), ("val", "val_")):
+                    part = rows.filter(F.col("split") == split)
+                    found = metrics_of(models.predict(model, part, name)).first().asDict()
+                    metrics |= {f"{prefix}{k}": v for k, v in found.items()}
+                runs.append(_record(spark, where, family, name, started, metrics, params, pipeline))
             except Exception as error:
                 log.exception("training %s failed", name)
                 failed[name] = f"{type(error).__name__}: {str(error)[:200]}"
     return runs, failed
 
 
+def _each(spark, where: Target, family: str, fits: Mapping) -> tuple[list[str], dict[str, str]]:
+    """Run the fits, each returning (metrics, parameters, pipeline); a failing one is listed."""
+    runs, failed = [], {}
+    for name, fit in fits.items():
+        started = dt.datetime.now()
+        try:
+            runs.append(_record(spark, where, family, name, started, *fit()))
+        except Exception as error:
+            log.exception("training %s failed", name)
+            failed[name] = f"{type(error).__name__}: {str(error)[:200]}"
+    return runs, failed
+
+
 def train_clusters(spark: SparkSession, df: DataFrame, where: Target, k: int = 5, restarts: int = 10):
     """Train k-means and a Gaussian mixture on standardised columns."""
     rows = prep.cluster_set(df)
     scales = prep.fit_scales(rows, rows.columns)
     ready = prep.assemble(prep.standardise(rows, scales), rows.columns)
-    runs, failed = [], {}
-    fits = {
-        "KMeans": (lambda d: clusters.kmeans(d, k, restarts), {"n_clusters": k}),
-        "GaussianMixture": (lambda d: clusters.gaussian_mixture(d, k), {"n_components": k}),
-    }
     with prep.held(ready) as held:
-        for name, (fit, params) in fits.items():
-            started = dt.datetime.now()
-            try:
-                labelled = clusters.assign(fit(held), held)
-                metrics = clusters.separation(labelled, rows.columns).drop("clusters").first().asDict()
-                metrics["silhouette_sq"] = clusters.silhouette_sq(labelled)
-                runs.append(_record(spark, where, "clustering", name, started, metrics, params))
-            except Exception as error:
-                log.exception("training %s failed", name)
-                failed[name] = f"{type(error).__name__}: {str(error)[:200]}"
-    return runs, failed
+
+        def measured(model):
+            labelled = clusters.assign(model, held)
+            found = clusters.separation(labelled, rows.columns).drop("clusters").first().asDict()
+            return found | {"silhouette_sq": clusters.silhouette_sq(labelled)}
+
+        def means():
+            model = clusters.kmeans(held, k, restarts)
+            metrics = measured(model) | {"inertia": model.cost}
+            return metrics, {"n_clusters": k}, scaled_pipeline(model, rows.columns, scales)
+
+        def mixture():
+            model = clusters.gaussian_mixture(held, k)
+            metrics = measured(model) | clusters.mixture_criteria(model, held.count())
+            return metrics, {"n_components": k}, scaled_pipeline(model, rows.columns, scales)
+
+        return _each(spark, where, "clustering", {"KMeans": means, "GaussianMixture": mixture})
 
 
 def train_reductions(spark: SparkSession, df: DataFrame, where: Target):
     """Principal components, and the discriminant between high and low tips."""
     rows = prep.cluster_set(df)
-    scales = prep.fit_scales(rows, rows.columns)
-    ready = prep.assemble(prep.standardise(rows, scales), rows.columns)
-    runs, failed = [], {}
+
+    def metrics_of(table: DataFrame) -> dict[str, float]:
+        return {r["metric"]: r["value"] for r in table.collect()}
 
     def components():
+        scales = prep.fit_scales(rows, rows.columns)
+        ready = prep.assemble(prep.standardise(rows, scales), rows.columns)
         found = reduction.pca(ready, rows.columns)
-        return reduction.reduction_metrics(spark, found.model.explainedVariance.toArray()[: found.count])
+        ratios = found.model.explainedVariance.toArray()[: found.count]
+        metrics = metrics_of(reduction.reduction_metrics(spark, ratios))
+        return metrics, {}, scaled_pipeline(found, rows.columns, scales)
 
     def discriminants():
         tips = prep.tip_label(df)
         names = prep.select_numeric(tips, "high_tip")
-        scaled = prep.standardise(tips, prep.fit_scales(tips, names))
+        scales = prep.fit_scales(tips, names)
+        scaled = prep.standardise(tips, scales)
         labelled = prep.assemble(scaled.withColumn("label", F.col("high_tip").cast("double")), names)
         found = reduction.linear_discriminant(labelled, len(names), 1)
-        right = reduction.accuracy(reduction.discriminate(found, labelled))
-        return reduction.reduction_metrics(spark, found.ratios).unionByName(
-            right.select(F.lit("classification_accuracy").alias("metric"), F.col("classification_accuracy").alias("value"))
-        )
+        right = reduction.accuracy(reduction.discriminate(found, labelled)).first()
+        metrics = metrics_of(reduction.reduction_metrics(spark, found.ratios)) | right.asDict()
+        return metrics, {}, scaled_pipeline(found, names, scales)
 
-    for name, fit in (("PCA", components), ("LDA", discriminants)):
-        started = dt.datetime.now()
-        try:
-            metrics = {r["metric"]: r["value"] for r in fit().collect()}
-            runs.append(_record(spark, where, "dim_reduction", name, started, metrics, {}))
-        except Exception as error:
-            log.exception("training %s failed", name)
-            failed[name] = f"{type(error).__name__}: {str(error)[:200]}"
-    return runs, failed
+    return _each(spark, where, "dim_reduction", {"PCA": components, "LDA": discriminants})
+
+
+def run_all(
+    spark: SparkSession,
+    trips: DataFrame,
+    where: Target,
+    key: str = "trip_id",
+    trainers: Mapping[str, Mapping[str, dict]] | None = None,
+    clusters_k: int = 5,
+    restarts: int = 10,
+) -> tuple[DataFrame, dict[str, str]]:
+    """All families over one table of trips: the training report, and what failed with the reason.
+
+    ``trainers`` gives the models and parameters of a supervised family; the default is all of them.
+    """
+    given, failed = trainers or {}, {}
+    keyed = trips.withColumn(SPLIT_KEY, F.col(key).cast("string"))  # a text key is no feature
+    for family, table, target in (
+        ("regression", prep.regression_set(keyed), "fare_amount"),
+        ("classification", prep.tip_label(keyed), "high_tip"),
+    ):
+        own = given.get(family)
+        failed |= train_family(spark, table, target, SPLIT_KEY, family, where, own)[1]
+    failed |= train_clusters(spark, trips, where, clusters_k, restarts)[1]
+    failed |= train_reductions(spark, trips, where)[1]
+    return training_report(spark.table(where.runs_table)), failed

@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline import schemas
 from meterline.functions.columns import nan_to_null
+from meterline.sources.footers import file_name, probe
 
 # File name prefixes of the two services.
 FILE_PREFIX = {"yellow": "yellow_tripdata_", "green": "green_tripdata_"}
@@ -61,45 +60,43 @@ def _as_declared(df: DataFrame) -> DataFrame:
     )
 
 
-def _file_name() -> Column:
-    """Name of the parquet file, or of the folder of part files, that a row came from."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.parquet)(/[^/]+)?$", 1)
-
-
 def ingest_many(spark: SparkSession, paths: Sequence[str]) -> Ingested:
     """Read many files as one table.
 
     Files are grouped by their footer schema, every group is one scan, and the scans are united
     by column name. A file that cannot be read or lacks an essential column is rejected with the
-    reason and does not stop the others. ``files`` counts rows and dates per file.
+    reason and does not stop the others. ``files`` counts rows and dates per file, 0 rows for an
+    empty one, so each path is in exactly one of ``files`` and ``rejected``. A path given twice counts once.
     """
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     rejected: list[tuple[str, str]] = []
-    for path in paths:
-        try:
-            schema = spark.read.parquet(path).schema
-        except (PySparkException, Py4JJavaError) as error:  # a broken footer is the latter
-            rejected.append((path, type(error).__name__))
+    for found in probe(spark, paths):
+        if found.schema is None:
+            rejected.append((found.path, found.reason))
             continue
-        lacking = [c for c in schemas.ESSENTIAL_SOURCE if c not in schema.names]
+        lacking = [c for c in schemas.ESSENTIAL_SOURCE if c not in found.schema.names]
         if lacking:
-            rejected.append((path, "missing " + ", ".join(lacking)))
+            rejected.append((found.path, "missing " + ", ".join(lacking)))
             continue
-        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+        groups.setdefault(found.schema.json(), (found.schema, []))[1].append(found.path)
 
     trips = spark.createDataFrame([], schemas.SOURCE_TRIPS).withColumn(
         "source_file", F.lit(None).cast("string")
     )
     for schema, members in groups.values():
         part = spark.read.schema(schema).parquet(*members)
-        part = part.withColumn("source_file", _file_name())
+        part = part.withColumn("source_file", file_name(F.col("_metadata.file_path")))
         trips = trips.unionByName(_as_declared(nan_to_null(part)), allowMissingColumns=True)
 
-    files = trips.groupBy("source_file").agg(
+    counted = trips.groupBy("source_file").agg(
         F.count("*").alias("total_rows"),
         F.min("tpep_pickup_datetime").alias("first_pickup"),
         F.max("tpep_pickup_datetime").alias("last_pickup"),
     )
+    read = [(p,) for _, members in groups.values() for p in members]
+    names = spark.createDataFrame(read, "path string").select(file_name(F.col("path")).alias("source_file"))
+    files = names.distinct().join(counted, "source_file", "left")  # a row per file on both sides
+    files = files.withColumn("total_rows", F.coalesce("total_rows", F.lit(0)))
     return Ingested(trips, files, spark.createDataFrame(rejected, FILE_REPORT))
 
 
