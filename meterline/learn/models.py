@@ -2,7 +2,8 @@
 
 A trainer takes a table with a ``features`` vector and a ``label`` and returns the fitted model.
 Penalties are translated so that the linear models have the usual closed-form objectives; tree
-boosting is Spark's own, so its metrics are comparable with other libraries, not equal.
+boosting is Spark's own, so its metrics are comparable with other libraries, not equal. The net is
+in ``net``; linear fits for many folds and penalties at once are in ``moments``.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
@@ -24,6 +24,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.learn.net import fit_net
 from meterline.learn.prep import SEED
 
 MAX_DEPTH = 30
@@ -147,17 +148,12 @@ def gbt_classifier(
 def mlp(
     train: DataFrame,
     hidden_layer_sizes: tuple[int, ...] = (100, 50),
-    max_iter: int = 300,
+    max_iter: int = 500,
     classes: int = 2,
     seed: int = SEED,
 ) -> Model:
-    """A feed-forward net; Spark's layers are sigmoid and its solver L-BFGS."""
-    width = train.schema["features"].metadata.get("ml_attr", {}).get("num_attrs")
-    if width is None:
-        width = len(train.select("features").first()["features"])
-    return MultilayerPerceptronClassifier(
-        layers=[width, *hidden_layer_sizes, classes], maxIter=max_iter, tol=1e-4, seed=seed
-    ).fit(train)
+    """A feed-forward net with rectified units: mini-batch Adam, stopped by held-out rows."""
+    return fit_net(train, hidden_layer_sizes, classes, max_iter, seed).model
 
 
 REGRESSORS: dict[str, Callable[..., Model]] = {
