@@ -420,18 +420,31 @@ ENTRIES["F10_feature_job"] = (
     sql(f"SELECT trip_id, {FEATURES_SQL} FROM featured", *featured(SQL_CLEAN, "clean")),
 )
 
-DOCUMENTED = ["vendor_id", "payment_type", "trip_distance", "fare_amount", "tip_amount", "speed_mph"]
-DOCUMENTED_TEXT = ["store_and_fwd_flag", "time_of_day", "speed_category", "duration_category"]
+_ROUNDED = [*CYCLES, "price_per_mile", "tip_percentage", "cost_per_person"]
+DOCUMENTED_TEXT = ["store_and_fwd_flag", "time_of_day", "speed_category", "distance_category", "duration_category"]
+_PLAIN = (
+    "pickup_datetime dropoff_datetime is_weekend is_rush_hour is_business_hours is_new_years is_july_4th"
+    " is_thanksgiving is_christmas is_holiday"
+).split()
+DOCUMENTED = [
+    *"trip_id vendor_id passenger_count trip_distance rate_code pickup_location_id dropoff_location_id payment_type".split(),
+    *"fare_amount extra mta_tax tip_amount tolls_amount total_amount".split(),
+    *"pickup_latitude pickup_longitude dropoff_latitude dropoff_longitude".split(),
+    *"trip_duration trip_duration_minutes speed_mph hour_of_day".split(),
+    *PARTS,
+    *_ROUNDED,
+]
 
 
 def _documented(spark, sf_dir):
+    """All columns of the feature table; what is computed is rounded, as engines differ in last digits."""
     df = trip.all_features(usable(spark, sf_dir), geospatial=False)
-    return df.select("pickup_datetime", "is_weekend", *DOCUMENTED, *DOCUMENTED_TEXT)
+    return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in _ROUNDED})
 
 
 def _dictionary_sql() -> str:
     parts = []
-    for c in ["pickup_datetime", "is_weekend", *DOCUMENTED, *DOCUMENTED_TEXT]:
+    for c in [*_PLAIN, *DOCUMENTED, *DOCUMENTED_TEXT]:
         if c in DOCUMENTED:
             stats = ", ".join(
                 f"{sql_half_up(f'{f}({c}::DOUBLE)', 4)} AS {n}"
@@ -449,7 +462,7 @@ def _dictionary_sql() -> str:
 
 _DOCUMENTED_CTE = (
     *featured(USABLE, "usable"),
-    f"documented AS (SELECT * EXCLUDE (speed_category), {CATEGORIES_SQL}, {TRIP_PARTS['speed_category']}, {TRIP_PARTS['duration_category']} FROM (SELECT *, NULL AS speed_category FROM featured))",
+    f"documented AS MATERIALIZED (SELECT featured.*, hour AS hour_of_day, {', '.join([CYCLES_SQL, CATEGORIES_SQL, HOLIDAYS_SQL, *TRIP_PARTS.values()])} FROM featured)",
 )
 ENTRIES["F11_feature_dictionary"] = (
     lambda spark, sf_dir: features.feature_dictionary(_documented(spark, sf_dir)).drop(

@@ -184,9 +184,9 @@ def fit_net(
     seed: int = 42,
 ) -> NetFit:
     """Fit on (features, label), labels 0..classes-1; the table should be held in memory."""
-    row = train.select(Summarizer.metrics("mean", "std").summary(F.col("features")).alias("s")).first()
-    if row is None or row["s"] is None:
+    if train.isEmpty():
         raise ValueError("there are no rows to train on")
+    row = train.select(Summarizer.metrics("mean", "std").summary(F.col("features")).alias("s")).first()
     means, widths = row["s"]["mean"].toArray(), row["s"]["std"].toArray()
     widths = np.where(widths > 1e-12 * np.maximum(1.0, np.abs(means)), widths, 1.0)
     layers = [len(means), *hidden, classes]

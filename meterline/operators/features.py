@@ -15,64 +15,74 @@ TOP_VALUES = 5
 STATISTICS = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 
 
-def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, value, n): rows collapse per value before the shuffle."""
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    return (
-        texts.unpivot([], list(columns), "column_name", "value")
-        .filter(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
-        .agg(F.count("*").alias("n"))
-    )
+VALUES = "column_name string, whole bigint, number double, text string, n bigint"
+
+
+def _cell(name: str, kind: T.DataType) -> str:
+    """The value in the one of three typed fields that holds its kind exactly, as SQL text."""
+    c, field = quoted(name), "text"
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        field, value = "whole", f"CAST({c} AS BIGINT)"
+    elif isinstance(kind, T.DateType):
+        field, value = "whole", f"CAST(unix_date({c}) AS BIGINT)"
+    elif isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        field, value = "number", f"CAST({c} AS DOUBLE)"
+    else:  # times, decimals and binary values have exact texts of their own
+        value = f"CAST({c} AS STRING)"
+    empty = {"whole": "BIGINT", "number": "DOUBLE", "text": "STRING"}
+    parts = [f"'{f}', {value if f == field else f'CAST(NULL AS {t})'}" for f, t in empty.items()]
+    return f"named_struct('column_name', {text_literal(name)}, {', '.join(parts)})"
+
+
+def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """How often each value stands in each column: one scan and one shuffle for all columns.
+
+    A value is in ``whole``, ``number`` or ``text`` by its kind; rows collapse per value before the shuffle.
+    Nulls are left out. Stage the result where several summaries follow.
+    """
+    wanted = set(df.columns if columns is None else columns)
+    cells = [_cell(f.name, f.dataType) for f in df.schema.fields if f.name in wanted]
+    if not cells:
+        return df.sparkSession.createDataFrame([], VALUES)
+    long = df.select(F.expr(f"inline(array({', '.join(cells)}))"))
+    known = long.where("whole IS NOT NULL OR number IS NOT NULL OR text IS NOT NULL")
+    return known.groupBy("column_name", "whole", "number", "text").agg(F.count("*").alias("n"))
 
 
-def top_values(df: DataFrame, n: int = TOP_VALUES) -> DataFrame:
+def top_values(df: DataFrame, n: int = TOP_VALUES, counts: DataFrame | None = None) -> DataFrame:
     """Most frequent values of every string column, by count and then by value.
 
-    The filter on ``row_number`` is applied inside each task before the shuffle.
+    ``counts`` are value counts of the table, if there are any yet. The filter on ``row_number`` is applied
+    inside each task before the shuffle.
     """
     columns = schemas.string_columns(df)
     if not columns:
         return df.sparkSession.createDataFrame(
             [], "column_name string, value string, n bigint, value_rank int"
         )
-    by = Window.partitionBy("column_name").orderBy(F.col("n").desc(), "value")
-    return (
-        _value_counts(df, columns)
-        .withColumn("value_rank", F.row_number().over(by))
-        .filter(F.col("value_rank") <= n)
+    counts = value_counts(df, columns) if counts is None else counts
+    texts = counts.where(F.col("column_name").isin(*columns)).select(
+        "column_name", F.col("text").alias("value"), "n"
     )
+    by = Window.partitionBy("column_name").orderBy(F.col("n").desc(), "value")
+    ranked = texts.withColumn("value_rank", F.row_number().over(by))
+    return ranked.filter(F.col("value_rank") <= n)
 
 
-def distinct_values(df: DataFrame, approx: bool = False) -> DataFrame:
+def distinct_values(
+    df: DataFrame, approx: bool = False, counts: DataFrame | None = None
+) -> DataFrame:
     """(column_name, unique_values), nulls not counted."""
     if approx:
         row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in df.columns])
         return row.unpivot([], df.columns, "column_name", "unique_values")
-    # one pass per kind of value: (column, value) pairs collapse before the shuffle
-    kinds: dict[str, list[str]] = {}
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.NumericType):
-            kind = "decimal(38,9)" if isinstance(f.dataType, T.DecimalType) else "double"
-            kind = "bigint" if isinstance(f.dataType, T.IntegralType) else kind
-        else:
-            kind = f.dataType.simpleString()
-        kinds.setdefault(kind, []).append(f.name)
-    counts = None
-    for kind, columns in kinds.items():
-        part = (
-            df.select(*[F.col(c).cast(kind).alias(c) for c in columns])
-            .unpivot([], columns, "column_name", "value")
-            .groupBy("column_name", "value")
-            .agg(F.count("value").alias("n"))
-            .groupBy("column_name")
-            .agg(F.count_if(F.col("n") > 0).alias("unique_values"))
-        )
-        counts = part if counts is None else counts.unionByName(part)
-    return counts
+    counts = value_counts(df) if counts is None else counts
+    return counts.groupBy("column_name").agg(F.count("*").alias("unique_values"))
 
 
-def feature_dictionary(df: DataFrame, approx: bool = False) -> DataFrame:
+def feature_dictionary(
+    df: DataFrame, approx: bool = False, counts: DataFrame | None = None
+) -> DataFrame:
     """One row per column: type, nulls, distinct values and, if numeric, four statistics."""
     numeric = set(schemas.numeric_columns(df))
     aggregates, entries = ["count(*) AS n"], []
@@ -93,7 +103,7 @@ def feature_dictionary(df: DataFrame, approx: bool = False) -> DataFrame:
         entries.append(entry)
     facts = rows_from(df.agg(*[F.expr(t) for t in aggregates]), entries)
     # both sides have one row per column of the table
-    return facts.join(F.broadcast(distinct_values(df, approx)), "column_name", "left").withColumn(
+    return facts.join(F.broadcast(distinct_values(df, approx, counts)), "column_name", "left").withColumn(
         "unique_values", F.coalesce("unique_values", F.lit(0).cast("bigint"))
     )
 

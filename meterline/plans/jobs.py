@@ -13,6 +13,7 @@ from meterline.operators import clean, features, profile, trip, validate
 from meterline.operators.sampling import sample_n
 from meterline.sources.files import Ingested, ingest_many, write_json
 from meterline.sources.raw import prepare_raw
+from meterline.sources.staging import stage
 from meterline.sources.tables import write_table
 
 
@@ -69,9 +70,12 @@ def feature_job(
     if sample:
         trips = sample_n(trips, sample, list(sample_key) or trips.columns)
     write_table(trip.all_features(trips, geospatial=False), target, "replace", path=path)
-    dictionary = features.feature_dictionary(spark.table(target))
+    written = spark.table(target)
+    counts = stage(features.value_counts(written), "values")  # serves both summaries
+    dictionary = features.feature_dictionary(written, counts=counts)
     if dictionary_path:
         write_json(dictionary, dictionary_path)
+        write_json(features.top_values(written, counts=counts), f"{dictionary_path}-top-values")
     return dictionary
 
 
