@@ -268,9 +268,9 @@ ENTRIES["X8_champion_verdict"] = (
 ENTRIES["X8_param_differences"] = (
     lambda spark, sf_dir: runs.param_differences(run_table(spark, sf_dir), pairs(spark, sf_dir)),
     sql(
-        "SELECT champion_id, challenger_id, param, a.value AS champion, b.value AS challenger FROM"
-        " (SELECT p.*, param, value FROM pairs p JOIN params m ON m.run_id = champion_id) a FULL JOIN"
-        " (SELECT p.*, param, value FROM pairs p JOIN params m ON m.run_id = challenger_id) b USING (champion_id, challenger_id, param)",
+        "SELECT champion_id, challenger_id, param, max(CASE WHEN side = 1 THEN value END) AS champion, max(CASE WHEN side = 2 THEN value END) AS challenger"
+        " FROM (SELECT champion_id, challenger_id, param, value, 1 AS side FROM pairs JOIN params ON run_id = champion_id"
+        " UNION ALL SELECT champion_id, challenger_id, param, value, 2 FROM pairs JOIN params ON run_id = challenger_id) GROUP BY 1, 2, 3",
         SQL_RUNS,
         SQL_PARAMS,
         SQL_PAIRS[0],

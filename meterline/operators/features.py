@@ -18,7 +18,7 @@ STATISTICS = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 VALUES = "column_name string, whole bigint, number double, text string, n bigint"
 
 
-def _cell(name: str, kind: T.DataType) -> str:
+def _cell(place: int, name: str, kind: T.DataType) -> str:
     """The value in the one of three typed fields that holds its kind exactly, as SQL text."""
     c, field = quoted(name), "text"
     if isinstance(kind, (T.IntegralType, T.BooleanType)):
@@ -31,7 +31,7 @@ def _cell(name: str, kind: T.DataType) -> str:
         value = f"CAST({c} AS STRING)"
     empty = {"whole": "BIGINT", "number": "DOUBLE", "text": "STRING"}
     parts = [f"'{f}', {value if f == field else f'CAST(NULL AS {t})'}" for f, t in empty.items()]
-    return f"named_struct('column_name', {text_literal(name)}, {', '.join(parts)})"
+    return f"named_struct('place', {place}, {', '.join(parts)})"
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -41,12 +41,16 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     Nulls are left out. Stage the result where several summaries follow.
     """
     wanted = set(df.columns if columns is None else columns)
-    cells = [_cell(f.name, f.dataType) for f in df.schema.fields if f.name in wanted]
-    if not cells:
+    fields = [f for f in df.schema.fields if f.name in wanted]
+    if not fields:
         return df.sparkSession.createDataFrame([], VALUES)
+    # a number for the column keeps the grouping key short
+    cells = [_cell(i, f.name, f.dataType) for i, f in enumerate(fields)]
     long = df.select(F.expr(f"inline(array({', '.join(cells)}))"))
     known = long.where("whole IS NOT NULL OR number IS NOT NULL OR text IS NOT NULL")
-    return known.groupBy("column_name", "whole", "number", "text").agg(F.count("*").alias("n"))
+    counts = known.groupBy("place", "whole", "number", "text").agg(F.count("*").alias("n"))
+    names = f"array({', '.join(text_literal(f.name) for f in fields)})"
+    return counts.select(F.expr(f"{names}[place]").alias("column_name"), "whole", "number", "text", "n")
 
 
 def top_values(df: DataFrame, n: int = TOP_VALUES, counts: DataFrame | None = None) -> DataFrame:
