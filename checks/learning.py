@@ -188,8 +188,18 @@ ENTRIES["K4_separable"] = (
 def importances(spark, sf_dir):
     df, columns = fares(spark, sf_dir)
     table_ = None
-    for name, params in (("LinearRegression", {}), ("RandomForestRegressor", {"n_estimators": 20})):
-        model = _fit(df, models.REGRESSORS[name], **params)
+    # the five regressors as R1 to R5 register them
+    for name, params in (
+        ("LinearRegression", {}),
+        ("Ridge", {"alpha": 1.0}),
+        ("Lasso", {"alpha": 1.0}),
+        ("RandomForestRegressor", {"n_estimators": 100, "max_depth": 10}),
+        ("GBTRegressor", {"n_estimators": 100, "max_depth": 6, "validation": "validation"}),
+    ):
+        if name in moments.SOLVERS:
+            model = linear_fit(spark, sf_dir, name, **params)[0].scorer()
+        else:
+            model = _fit(df, models.REGRESSORS[name], **params)
         part = models.importance(spark, model, columns, name)
         table_ = part if table_ is None else table_.unionByName(part)
     return plain(evaluation.rank_importance(table_, 10))
@@ -226,7 +236,7 @@ def kmeans(spark, sf_dir):
 
 
 def mixture(spark, sf_dir):
-    df, _, columns = scaled(spark, sf_dir, FEW)
+    df, _, columns = scaled(spark, sf_dir)
     with prep.held(df):
         model = clusters.gaussian_mixture(df, k=5)
         criteria = clusters.mixture_criteria(model, df.count())
@@ -332,9 +342,9 @@ def centers(spark, sf_dir):
 
 
 def soft(spark, sf_dir):
-    df, _, _ = scaled(spark, sf_dir, FEW[:4])
+    df, _, _ = scaled(spark, sf_dir)
     with prep.held(df):
-        model = clusters.gaussian_mixture(df, 3)
+        model = clusters.gaussian_mixture(df, 5)
     return plain(clusters.soft_assign(model, df, ["trip_id"]))
 
 
