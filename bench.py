@@ -44,6 +44,10 @@ HEADLINE = (
     "X8_champion_verdict",
     "X9_model_card",
     "B1_score_batch",
+    "O1_drift_ks",
+    "O6_cv_grids",
+    "D3_lda_tips",
+    "K4_mlp",
 )
 
 
