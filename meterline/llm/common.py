@@ -17,6 +17,10 @@ from meterline.sources.staging import stage
 #: Into how many parts the rows of one key are dealt before a lookup by that key.
 SALTS = 16
 
+#: Bits that announce keys, in rows of 32768; 4 MB are broadcast, whatever the table.
+MARKS = 1 << 25
+_ROW = 1 << 15
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -115,3 +119,29 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 def salt_of(col: Column, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(col), F.lit(salts)).cast("int")
+
+
+def marks(keys: DataFrame, key: str = "doc") -> DataFrame:
+    """(row, bits): the bitmap of the documents (or nodes) in ``keys``."""
+    at = F.pmod(key, F.lit(MARKS))
+    return (
+        keys.select(F.floor(at / _ROW).cast("int").alias("row"), (at % _ROW).alias("bit"))
+        .groupBy("row")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+
+
+def with_mark(docs: DataFrame, bitmap: DataFrame, key: str = "_doc") -> DataFrame:
+    """Adds ``_marked``: false only for rows whose ``key`` is not in the bitmap."""
+    at = F.pmod(key, F.lit(MARKS))
+    spot = docs.withColumns({"_row": F.floor(at / _ROW).cast("int"), "_bit": (at % _ROW).cast("int")})
+    # MARKS bits in all: 1024 rows of 4 KB at most
+    named = F.broadcast(bitmap.select(F.col("row").alias("_row"), F.col("bits").alias("_bits")))
+    byte = F.conv(F.hex(F.expr("substring(_bits, _bit div 8 + 1, 1)")), 16, 10).cast("int")
+    marked = F.coalesce(F.expr("_b & shiftleft(1, _bit % 8)") != 0, F.lit(False))
+    return (
+        spot.join(named, "_row", "left")
+        .withColumn("_b", byte)
+        .withColumn("_marked", marked)
+        .drop("_row", "_bit", "_bits", "_b")
+    )

@@ -1,8 +1,8 @@
-"""Candidate stars, lookups that survive hot keys, and connected components, as DataFrame jobs."""
+"""Lookups that survive hot keys, and connected components, as DataFrame jobs."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.common import SALTS, salt_of, settle
@@ -21,24 +21,6 @@ def salted_lookup(
     return dealt.join(parts.join(right, key), [key, "_salt"], how).drop("_salt")
 
 
-def star_pairs(rows: DataFrame, order: Column) -> DataFrame:
-    """(key, node, leader) for each node of a bucket but the leader, its first in ``order``.
-
-    ``rows`` has (key, node). A bucket of n nodes gives n - 1 rows, never its pairs.
-    """
-    leaders = (
-        rows.groupBy("key")
-        .agg(
-            F.min(F.struct(order.alias("order"), "node")).alias("first"),
-            F.min("node").alias("least"),
-            F.max("node").alias("last"),
-        )
-        .where("least < last")
-        .select("key", F.col("first.node").alias("leader"))
-    )
-    return salted_lookup(rows, leaders, "key", "node").where("node != leader")
-
-
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (a, b); a component is its least node.
 

@@ -112,6 +112,17 @@ def test_near_keeps_one_of_equal_rows(docs, empty):
     assert near_dedup.keep_one(empty).collect() == []
 
 
+def test_lines_take_columns_of_any_name(spark):
+    names = ["positions", "_row", "_b", "_left", "_doc", "_marked", "_p0", "_n", "_bit", "a.b", "node", "first"]
+    rows = [(1, PROSE), (2, PROSE + "\none more line"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(c) for c in names})
+    out = line_dedup.drop_duplicate_lines(docs.withColumn("n_lines_dropped", F.lit(99)))
+    assert out.columns == [*docs.columns, "n_lines_dropped"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert [got[k]["n_lines_dropped"] for k in (1, 2, 3)] == [0, 1, 0] and got[2]["text"] == "one more line"
+    assert all(r[c] == c for r in got.values() for c in names)
+
+
 def test_lines_keep_columns(docs, empty):
     out = line_dedup.drop_duplicate_lines(docs)
     assert out.columns == [*docs.columns, "n_lines_dropped"]
