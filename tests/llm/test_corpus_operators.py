@@ -1,10 +1,10 @@
 """Near-duplicates, lines, decontamination, language, toxicity and the pipeline by brute force."""
 
 import random
-from collections import defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -454,9 +454,8 @@ def test_label_model_finds_rates():
 
 
 def plain_line(line):
-    """The normal form: lower-case words without the signs at their ends."""
-    words = (w.strip(line_dedup.EDGES) for w in line.lower().replace("\t", " ").split(" "))
-    return " ".join(w for w in words if w)
+    """The normal form: lower-case words of letters, marks and digits."""
+    return " ".join(regex.findall(r"[\p{L}\p{M}\p{N}]+", line.lower()))
 
 
 def test_pipeline_against_its_stages(spark, sf_dir):
