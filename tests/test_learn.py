@@ -185,3 +185,22 @@ def test_kmeans_of_few_distinct_rows(spark):
     assert set(found[3].points.ravel()) == {1.0, 5.0}
     with pytest.raises(ValueError, match="no rows"):
         lloyd.fit_many(df.limit(0), [2])
+
+
+def test_a_pass_reads_packed_blocks(spark):
+    """Sizes, sums and costs of runs of several widths, from blocks that hold many weighted rows each."""
+    rng = np.random.default_rng(8)
+    x, w = rng.normal(size=(9000, 3)), rng.integers(1, 5, 9000)
+    rows = spark.createDataFrame(
+        [(p.tolist(), int(n)) for p, n in zip(x, w, strict=True)], "x array<double>, w long"
+    ).repartition(2)
+    blocks = lloyd.packed(rows).cache()
+    assert blocks.count() <= 4
+    runs = [rng.normal(size=(k, 3)) for k in (1, 4, 2)]
+    for centres, (sizes, sums, cost) in zip(runs, lloyd._pass(blocks, runs), strict=True):
+        distance = ((x[:, None] - centres) ** 2).sum(axis=2)
+        own = distance.argmin(axis=1)
+        assert sizes.tolist() == [w[own == i].sum() for i in range(len(centres))]
+        want = [(x * w[:, None])[own == i].sum(axis=0) for i in range(len(centres))]
+        assert np.allclose(sums, want)
+        assert cost == pytest.approx((distance.min(axis=1) * w).sum())
