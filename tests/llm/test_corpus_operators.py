@@ -308,6 +308,32 @@ def test_large_buckets_hide_no_line(spark):
     assert recall_of_pairs(spark, lines)[0] >= 0.9
 
 
+def test_large_buckets_lose_no_link(spark):
+    """Lines of one template; pairs of them differ in six words, so few share a word of every finer bucket."""
+    rng = random.Random(10)
+    vocabulary, lines = pool(rng), []
+    shared = [rng.choice(vocabulary) for _ in range(30)]
+    for _ in range(150):
+        line = shared + [rng.choice(vocabulary) for _ in range(14)]
+        other = list(line)
+        for i in rng.sample(range(44), 6):
+            other[i] = rng.choice(vocabulary)
+        lines += [" ".join(line), " ".join(other)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    nodes = line_dedup.nodes_of(line_dedup.lines_of(docs))
+    facts = {r["first"]["doc_id"]: r for r in nodes.collect()}
+    pairs = [
+        (i, i + 1)
+        for i in range(0, len(lines), 2)
+        if alike(lines[i], lines[i + 1])
+        and (facts[i]["simhash"] ^ facts[i + 1]["simhash"]).bit_count() <= line_dedup.BITS_APART
+        and len(set(facts[i]["sketch"][: line_dedup.FIRST]) & set(facts[i + 1]["sketch"][: line_dedup.FIRST])) > 1
+    ]
+    assert len(pairs) > 30
+    kept = {r["doc_id"] for r in line_dedup.drop_duplicate_lines(docs).collect()}
+    assert not [p for p in pairs if kept >= set(p)]
+
+
 def test_numbers_and_short_lines(spark):
     rows = [
         (1, "total revenue for the year 2019: 4512\nab\n12 34 56\n---"),
