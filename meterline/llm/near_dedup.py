@@ -13,6 +13,11 @@ key and another leader (``DEPTHS``), until none is left over or the whole signat
 texts that share a passage don't hide a pair. A finer bucket without unlike ones is done, and no pair
 is aligned twice under one leader.
 
+Finer buckets can part a pair. So the texts of all large buckets that held unlike ones are joined exactly
+at the end: texts that can reach the threshold share one of their rarest shingles, a fifth of them
+and one more (prefix filter, rarest first by the number of those texts that hold it). Pairs of different classes that do
+are compared, first one pair of each text with each other class, then all that still lie apart.
+
 The verification aligns the shingle sequences inside the diagonal band that the threshold allows. The
 sequences have no repeats, so the best alignment is the longest increasing run of matched
 positions. Similarity is matched / (all - matched), ``THRESHOLD`` or more is a link: never more than
@@ -35,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.common import map_batches, marks, quoted, settle, strings, with_mark
-from meterline.llm.graph import components, salted_lookup
+from meterline.llm.graph import components, pairs_within, salted_lookup
 from meterline.llm.shingles import Hashes, mix, shingle_hashes, shingles_of, word_hashes
 
 SKETCHES = 24
@@ -222,6 +227,82 @@ def _stars(rows: DataFrame, order: Column) -> DataFrame:
     return members.where("node != leader")
 
 
+class _Shingles:
+    def __call__(self, batch: pa.RecordBatch) -> dict:
+        held = [sequence(t) for t in strings(batch, "text")]
+        ends = np.cumsum([0, *map(len, held)]).astype(np.int32)
+        flat = np.concatenate(held).view(np.int64)
+        return {
+            "node": batch.column("node"),
+            "n": pa.array(np.diff(ends).astype(np.int64)),
+            "shingles": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+        }
+
+
+def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
+    """(node, n, shingle, often, left): of each text its rarest shingles, of which alike texts share one.
+
+    ``often`` is the number of the texts that hold the shingle; those of a single text are left out.
+    ``left`` counts the text's shingles from this one on.
+    """
+    listed = settle(map_batches(texts, _Shingles(), "node long, n long, shingles array<long>"), "near-shingles")
+    each = listed.select("node", F.explode("shingles").alias("shingle"))
+    shared = settle(
+        each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "near-shared"
+    )
+    found = salted_lookup(each, shared, "shingle", "node")
+    # sequences have no repeats; shingles that are not shared come first and need no row
+    own = found.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("own"))
+    least = F.ceil(F.col("n") * threshold - 1e-6)
+    room = (F.col("n") - least + 1) - (F.col("n") - F.size("own"))
+    ready = listed.select("node", "n").join(own, "node").withColumn("room", room.cast("int")).where("room > 0")
+    first = ready.select(
+        "node", "n", F.size("own").alias("size"), F.posexplode(F.slice("own", F.lit(1), F.col("room"))).alias("at", "s")
+    )
+    return first.select("node", "n", "s.shingle", "s.often", (F.col("size") - F.col("at")).alias("left"))
+
+
+def _rest(texts: DataFrame, whole: DataFrame, seen: DataFrame, threshold: float) -> DataFrame:
+    """(leader, node, similarity) of the texts ``whole`` (node, open): each pair with an open one that may be alike.
+
+    Pairs of one class are not compared: their link would join nothing.
+    """
+    prefixes = settle(_prefixes(texts.join(whole.select("node"), "node"), threshold), "near-prefixes")
+    judged = seen
+    pairs = None
+    for best_only in (True, False):
+        groups = components(_good(judged, threshold), "near-rest")
+        placed = whole.join(groups, "node", "left").select(
+            "node", "open", F.coalesce("component", "node").alias("component")
+        )
+        if pairs is None:
+            # from their first common shingle on, both must hold as many as have to match
+            must = (F.col("x.n") + F.col("y.n")) * (threshold / (1 + threshold)) - 1e-6
+            fits = (
+                (F.col("x.component") != F.col("y.component"))
+                & (F.col("x.open") | F.col("y.open"))
+                & (F.least("x.left", "y.left") >= must)
+            )
+            rows = prefixes.join(placed, "node")
+            pairs = settle(
+                pairs_within(rows, "shingle", "often", fits)
+                .select(F.col("a").alias("leader"), F.col("b").alias("node"))
+                .join(seen, ["leader", "node"], "left_anti")
+                .join(seen.select(F.col("node").alias("leader"), F.col("leader").alias("node")), ["leader", "node"], "left_anti"),
+                "near-rest-pairs",
+            )
+            if pairs.isEmpty():
+                break
+        named = salted_lookup(pairs, placed.select("node", F.col("component").alias("mine")), "node", "leader")
+        other = placed.select(F.col("node").alias("leader"), F.col("component").alias("theirs"))
+        apart = salted_lookup(named, other, "leader", "node").where("mine != theirs")
+        if best_only:
+            apart = apart.groupBy("node", "theirs").agg(F.min("leader").alias("leader"))
+        new = apart.select("leader", "node").join(judged, ["leader", "node"], "left_anti")
+        judged = judged.unionByName(settle(verify(new, texts, threshold), "near-judged"))
+    return judged
+
+
 def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, text) of ``nodes``; a bitmap lets all other texts pass by before any is shuffled."""
     here = with_mark(docs.select("node", "text"), marks(nodes, "node"), "node").where("_marked")
@@ -237,7 +318,7 @@ def links(docs: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> Da
         F.xxhash64("j", *_run_of_sketches(0, DEPTHS[0])).alias("key"), "node", "j", F.lit(True).alias("open")
     )
     like = F.col("similarity") >= threshold
-    texts = seen = None
+    texts = seen = unsettled = None
     for depth, following in zip(DEPTHS, (*DEPTHS[1:], None), strict=True):
         # another order of the nodes each round, so that finer buckets get new leaders
         members = settle(_stars(rows, F.xxhash64("node", F.lit(depth))), "near-members")
@@ -285,6 +366,12 @@ def links(docs: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> Da
         live = large.join(left.select("key").distinct(), "key", "left_semi")
         whole = salted_lookup(state.select("key", "node", "j"), live.select("key"), "key", "node")
         whole = whole.unionByName(live.select("key", F.col("leader").alias("node"), "j"))
+        if unsettled is None:  # the buckets of later rounds are parts of these
+            marked = left.groupBy("node").agg(F.lit(True).alias("unlike"))
+            unsettled = whole.select("node").distinct().join(marked, "node", "left")
+            unsettled = settle(
+                unsettled.select("node", F.coalesce("unlike", F.lit(False)).alias("open")), "near-unsettled"
+            )
         flagged = whole.join(left.withColumn("unlike", F.lit(True)), ["key", "node"], "left")
         rows = flagged.join(nodes, "node").select(
             F.xxhash64("key", *_run_of_sketches(depth, following)).alias("key"),
@@ -294,6 +381,8 @@ def links(docs: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> Da
         )
     if seen is None:
         return spark.createDataFrame([], "a long, b long, similarity double")
+    if unsettled is not None:
+        seen = _rest(texts, unsettled, seen, threshold)
     return _good(seen, threshold)
 
 
