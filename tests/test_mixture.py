@@ -5,7 +5,7 @@ from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from meterline.learn import clusters, mixture
+from meterline.learn import clusters, lloyd, mixture
 from meterline.learn.stages import scaled_pipeline
 
 
@@ -58,3 +58,11 @@ def test_a_saved_mixture_gives_the_same_components(table, tmp_path):
     loaded = PipelineModel.load(str(tmp_path / "mixture"))
     again = [tuple(r) for r in loaded.transform(table.drop("features")).select("a", "prediction").collect()]
     assert again == [tuple(r) for r in model.transform(table).select("a", "prediction").collect()]
+
+
+def test_one_centre_takes_no_candidate_rounds(table, monkeypatch):
+    monkeypatch.setattr(lloyd, "_drawn", lambda *a: pytest.fail("one cluster needs no candidates"))
+    found = lloyd.fit_many(table, [1], restarts=2)[1]
+    x = np.array([r["features"].toArray() for r in table.select("features").collect()])
+    assert found.passes == 2 and np.allclose(found.points[0], x.mean(axis=0))
+    assert found.cost == pytest.approx(((x - x.mean(axis=0)) ** 2).sum())
