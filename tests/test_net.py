@@ -61,3 +61,20 @@ def test_net_stops_early_without_signal(spark):
     assert net.PATIENCE < len(fit.curve) < 300
     with pytest.raises(ValueError, match="no rows"):
         net.fit_net(df.limit(0))
+
+
+def test_rows_are_read_once_whatever_the_epochs(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(v):
+        seen.add(1)
+        return v
+
+    rng = np.random.default_rng(5)
+    rows = [(float(v), float(i % 2)) for i, v in enumerate(rng.normal(size=300))]
+    df = spark.createDataFrame(rows, "a double, label double").repartition(2)
+    df = prep.assemble(df.withColumn("a", F.udf(note, "double")("a")), ["a"])
+    fit = net.fit_net(df, hidden=(4,), max_epochs=6)
+    assert len(fit.curve) == 6
+    # the check for rows, the scales, and the packing
+    assert seen.value <= 3 * len(rows)
