@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from checks import learning
 from meterline.learn import models, prep
 
 
@@ -42,3 +43,16 @@ def test_a_forest_takes_one_part_a_core(spark):
     cores = spark.sparkContext.defaultParallelism
     df = prep.assemble(one_part(spark, 3000).repartition(cores * 5), ["a"])
     assert models._gathered(df).rdd.getNumPartitions() == cores
+
+
+def test_metrics_read_staged_predictions(spark, sf_dir, monkeypatch):
+    seen = []
+    compare = learning.evaluation.compare_classifiers
+
+    def noted(df):
+        seen.extend(df.inputFiles())
+        return compare(df)
+
+    monkeypatch.setattr(learning.evaluation, "compare_classifiers", noted)
+    assert learning.ENTRIES["K1_logistic"][0](spark, sf_dir).count() == 1
+    assert seen and all("/tested-" in path for path in seen)
